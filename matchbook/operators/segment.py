@@ -13,7 +13,7 @@ from matchbook.operators.chunks import CHUNK
 def segment_blocks(
     lines: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: Sequence[str],
     marker: str,
     flags: Mapping[str, Column],
 ) -> DataFrame:
@@ -30,12 +30,13 @@ def segment_blocks(
     """
     part = [*keys, CHUNK]
     whole = Window.partitionBy(*part)
-    running = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_block = Window.partitionBy(*part, "_local")
     names = list(flags)
 
+    met = [F.coalesce(c, F.lit(False)).alias(f"_is_{n}") for n, c in flags.items()]
     annotated = (
-        lines.withColumns({f"_is_{n}": F.coalesce(c, F.lit(False)) for n, c in flags.items()})
+        lines.select("*", *met)
         .withColumn("_local", F.sum(F.when(F.col(marker), 1).otherwise(0)).over(running))
         .withColumns(
             {
@@ -86,9 +87,17 @@ def segment_blocks(
     fix = (
         summary.select("*", F.explode(ends).alias("_end"))
         .select(*part, "_offset", "_glo", "_ghi", "_end.*")
-        .withColumns({n: F.coalesce(F.max(n).over(one_block), F.lit(False)) for n in names})
+        .select(
+            *part,
+            "_offset",
+            "_glo",
+            "_ghi",
+            "side",
+            *[F.coalesce(F.max(n).over(one_block), F.lit(False)).alias(n) for n in names],
+        )
         .groupBy(*part, "_offset", "_glo", "_ghi")
         .agg(
+            F.count(F.lit(1)).alias("_ends"),
             *[F.max(F.when(F.col("side") == 0, F.col(n))).alias(f"_first_{n}") for n in names],
             *[F.max(F.when(F.col("side") == 1, F.col(n))).alias(f"_last_{n}") for n in names],
         )

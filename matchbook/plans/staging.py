@@ -38,7 +38,7 @@ def blocks(lines: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     cut = segment_blocks(
         marked,
         [FILE],
-        ROW,
+        [ROW],
         "is_marker_line",
         {
             "_batting": F.col("raw_line").rlike(BATTING_HEADER),

@@ -12,10 +12,11 @@ from tests.compare import connect, differences  # noqa: E402
 
 folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 wanted = sys.argv[2] if len(sys.argv) > 2 else ""
+skipped = sys.argv[3] if len(sys.argv) > 3 else None
 spark, con, bad = local_session(8), connect(folder), 0
 oracles = entry.oracle_sql()
 for name, run in entry.queries().items():
-    if wanted not in name:
+    if not any(w in name for w in wanted.split(",")) or (skipped and skipped in name):
         continue
     start = time.time()
     try:
