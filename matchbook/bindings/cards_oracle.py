@@ -6,6 +6,8 @@ select. Only the arithmetic of the seeds is shared with the renderer.
 
 from __future__ import annotations
 
+import re
+
 from matchbook.bindings.cards import LONG_SURNAME, SHORT_SURNAME, SURNAMES
 
 _NAMES = "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in SURNAMES) + "]"
@@ -332,10 +334,10 @@ def expected(select: str) -> str:
 
     visit(select)
     ordered = [name for name in CTES if name in needed]
-    return "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in ordered) + "\n" + select
+    front = "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in ordered)
+    own = select.lstrip()
+    return f"{front},\n{own[4:]}" if own.startswith("WITH") else f"{front}\n{own}"
 
 
 def _mentions(text: str, name: str) -> bool:
-    import re
-
     return re.search(rf"(?:FROM|JOIN|,)\s+{name}\b", text) is not None

@@ -12,19 +12,26 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
+    """A named check. ``rows`` are its failures, or, with ``bad``, the rows ``bad`` picks from."""
+
     name: str
     table: str
     column: str
-    failures: DataFrame
+    rows: DataFrame
     severity: str = "error"
+    bad: Column | None = None
+
+    @property
+    def failures(self) -> DataFrame:
+        return self.rows if self.bad is None else self.rows.where(self.bad)
 
 
-def _scoped(df: DataFrame, where: Column | None) -> DataFrame:
-    return df if where is None else df.where(where)
+def _row_check(name, df, table, column, bad: Column, where: Column | None = None, severity="error") -> Check:
+    return Check(name, table, column, df, severity, bad if where is None else where & bad)
 
 
 def not_null(df: DataFrame, table: str, column: str, where: Column | None = None, **kw) -> Check:
-    return Check("not_null", table, column, _scoped(df, where).where(F.col(column).isNull()), **kw)
+    return _row_check("not_null", df, table, column, F.col(column).isNull(), where, **kw)
 
 
 def unique(df: DataFrame, table: str, *columns: str, **kw) -> Check:
@@ -38,7 +45,7 @@ def accepted_values(
     df: DataFrame, table: str, column: str, values: Sequence, where: Column | None = None, **kw
 ) -> Check:
     bad = F.col(column).isNotNull() & ~F.col(column).isin(list(values))
-    return Check("accepted_values", table, column, _scoped(df, where).where(bad), **kw)
+    return _row_check("accepted_values", df, table, column, bad, where, **kw)
 
 
 def relationship(
@@ -58,14 +65,14 @@ def accepted_range(
         bad = bad | (value < low if inclusive else value <= low)
     if high is not None:
         bad = bad | (value > high if inclusive else value >= high)
-    return Check("accepted_range", table, column, df.where(bad), **kw)
+    return _row_check("accepted_range", df, table, column, bad, **kw)
 
 
 def expression_true(
     df: DataFrame, table: str, label: str, holds: Column, where: Column | None = None, **kw
 ) -> Check:
     """Rows where the expression is false or unknown fail."""
-    return Check("expression_is_true", table, label, _scoped(df, where).where(~F.coalesce(holds, F.lit(False))), **kw)
+    return _row_check("expression_is_true", df, table, label, ~F.coalesce(holds, F.lit(False)), where, **kw)
 
 
 def same_row_count(
@@ -87,18 +94,30 @@ def same_row_count(
 def report(checks: Sequence[Check]) -> DataFrame:
     """One row per check: check, table_name, column_name, severity, failures, passed.
 
-    Each check is a single count; an error fails the build, a warning is only listed.
+    All row-by-row checks of a table are counted in one pass over it. An error fails the build, a
+    warning is only listed.
     """
-    rows = []
+    passes: dict[int, list[Check]] = {}
+    counted: list[DataFrame] = []
     for check in checks:
-        rows.append(
-            check.failures.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(check.name).alias("check"),
-                F.lit(check.table).alias("table_name"),
-                F.lit(check.column).alias("column_name"),
-                F.lit(check.severity).alias("severity"),
-                "failures",
-                (F.col("failures") == 0).alias("passed"),
-            )
+        if check.bad is None:
+            total = check.rows.agg(F.count(F.lit(1)).alias("failures"))
+            counted.append(total.select(*_labels(check), "failures"))
+        else:
+            passes.setdefault(id(check.rows), []).append(check)
+    for group in passes.values():
+        totals = group[0].rows.agg(*[F.count_if(c.bad).alias(f"c{i}") for i, c in enumerate(group)])
+        listed = F.array(
+            *[F.struct(*_labels(c), F.col(f"c{i}").alias("failures")) for i, c in enumerate(group)]
         )
-    return reduce(DataFrame.unionByName, rows)
+        counted.append(totals.select(F.inline(listed)))
+    return reduce(DataFrame.unionByName, counted).withColumn("passed", F.col("failures") == 0)
+
+
+def _labels(check: Check) -> list[Column]:
+    return [
+        F.lit(check.name).alias("check"),
+        F.lit(check.table).alias("table_name"),
+        F.lit(check.column).alias("column_name"),
+        F.lit(check.severity).alias("severity"),
+    ]
