@@ -69,7 +69,7 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
 
     def player(key: str, p: str) -> str:
         slot = f"case when m % 50 = 0 and ({p}) = 3 then 2 else ({p}) end"
-        name_slot = f"case when {key} % 5 = 0 and ({slot}) = 11 then 10 else ({slot}) end"
+        name_slot = f"case when {key} % 5 = 0 and ({slot}) = 9 then 8 else ({slot}) end"
         surname = f"element_at(surnames, cast(({key} * 3 + {name_slot}) % 16 + 1 as int))"
         return f"concat(substr('ABCDEFGHIJK', cast({slot} as int), 1), ' ', {surname})"
 
@@ -106,14 +106,14 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
             f"transform(slots, p -> case when p <= batted then {h} % 61 + case when {h} % 29 = 0 then 100 else 0 end end) as runs",
             f"transform(slots, p -> {h} % 17) as spare",
             f"transform(slots, p -> case when p <= nw then ({h} div 61) % 6 else -1 end) as how",
-            f"transform(slots, p -> 7 + ({h} div 366) % 5) as bowler",
+            f"transform(slots, p -> 5 + ({h} div 366) % 5) as bowler",
             f"transform(slots, p -> 1 + ({h} div 1830) % 11) as fielder",
             f"transform(slots, p -> 6 * (3 + {_h('k', '20 + p')} % 10) + {_h('k', '30 + p')} % 6) as balls",
         )
         .selectExpr(
             "*",
             "extras + aggregate(runs, 0L, (a, r) -> a + coalesce(r, 0L)) as total",
-            "aggregate(slice(balls, 7, 5), 0L, (a, b) -> a + b) as all_balls",
+            "aggregate(slice(balls, 5, 5), 0L, (a, b) -> a + b) as all_balls",
         )
     )
     out_text = f"""case how[p - 1]
@@ -129,7 +129,7 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
         else concat(rpad({player('bat_key', 'p')}, 16), rpad({out_text}, 26),
             lpad(cast(runs[p - 1] as string), 5), lpad(cast(runs[p - 1] + spare[p - 1] as string), 5),
             {dash.format('(runs[p - 1] div 8)')}, {dash.format('(runs[p - 1] div 20)')}) end"""
-    given = "case when p = 11 then total - 4 * (total div 5) else total div 5 end"
+    given = "case when p = 9 then total - 4 * (total div 5) else total div 5 end"
     per = f"((({given}) * case when fmt = 6 then 500 else 600 end + balls[p - 1] div 2) div balls[p - 1])"
     overs = "concat(cast({0} div 6 as string), '.', cast({0} % 6 as string))"
     bowled = f"case when fmt = 6 then cast(balls[p - 1] as string) else {overs.format('balls[p - 1]')} end"
@@ -178,7 +178,7 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
             concat('                ', case when fmt = 6 then '   B    D     R    W    Econ'
                 when fmt in (2, 3) then '   O    D     R    W    Econ' else '   O    M     R    W    Econ' end),
             '{DASHES}'),
-        transform(slice(slots, 7, 5), p -> {bowler_line}),
+        transform(slice(slots, 5, 5), p -> {bowler_line}),
         array('', 'Fall of Wickets:', array_join({falls.format('w <= 5')}, '   '),
             array_join({falls.format('w > 5')}, '   '), '{STARS}'),
         case when k = innings then concat(array({outcome}), {award}) else array() end)"""

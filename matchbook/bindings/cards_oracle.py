@@ -23,7 +23,7 @@ def _h(k: str, p: str) -> str:
 
 def _player(key: str, p: str) -> str:
     slot = f"(CASE WHEN m % 50 = 0 AND ({p}) = 3 THEN 2 ELSE ({p}) END)"
-    named = f"(CASE WHEN {key} % 5 = 0 AND {slot} = 11 THEN 10 ELSE {slot} END)"
+    named = f"(CASE WHEN {key} % 5 = 0 AND {slot} = 9 THEN 8 ELSE {slot} END)"
     return f"(substr('ABCDEFGHIJK', ({slot})::INT, 1) || ' ' || {_NAMES}[(({key} * 3 + {named}) % 16 + 1)::INT])"
 
 
@@ -76,14 +76,14 @@ CTES = {
         CASE WHEN p <= nw THEN ({_h('k', 'p')} // 61) % 6 ELSE -1 END AS how,
         {_h('k', 'p')} % 61 + CASE WHEN {_h('k', 'p')} % 29 = 0 THEN 100 ELSE 0 END AS raw_runs,
         {_h('k', 'p')} % 17 AS spare,
-        7 + ({_h('k', 'p')} // 366) % 5 AS bowler_p,
+        5 + ({_h('k', 'p')} // 366) % 5 AS bowler_p,
         1 + ({_h('k', 'p')} // 1830) % 11 AS fielder_p,
         6 * (3 + {_h('k', '20 + p')} % 10) + {_h('k', '30 + p')} % 6 AS balls,
         {_h('k', '40 + p')} % 4 AS third
         FROM inn1, range(1, 12) r(p)""",
     "inn": """SELECT i.*, extras + t.bat_runs AS total, t.all_balls
         FROM inn1 i JOIN (SELECT m, k, sum(CASE WHEN batted THEN raw_runs ELSE 0 END)::BIGINT AS bat_runs,
-            sum(CASE WHEN p >= 7 THEN balls ELSE 0 END)::BIGINT AS all_balls FROM slots GROUP BY m, k) t
+            sum(CASE WHEN p BETWEEN 5 AND 9 THEN balls ELSE 0 END)::BIGINT AS all_balls FROM slots GROUP BY m, k) t
         ON i.m = t.m AND i.k = t.k""",
     # --- staging -------------------------------------------------------------------------------
     "stg_lines": """SELECT source_file_name, n::BIGINT AS source_file_row_number, 0::BIGINT AS k, n AS j, ni, 0::BIGINT AS nw
@@ -141,14 +141,14 @@ CTES = {
         CASE WHEN batted THEN raw_runs // 8 END AS fours, CASE WHEN batted THEN raw_runs // 20 END AS sixes
         FROM slots""",
     "bowled": f"""SELECT sl.*, i.total, {_player('sl.bowl_key', 'p').replace('m %', 'sl.m %')} AS player_name,
-        CASE WHEN p = 11 THEN i.total - 4 * (i.total // 5) ELSE i.total // 5 END AS given,
+        CASE WHEN p = 9 THEN i.total - 4 * (i.total // 5) ELSE i.total // 5 END AS given,
         coalesce(w.n, 0) AS taken
         FROM slots sl JOIN inn i ON sl.m = i.m AND sl.k = i.k
         LEFT JOIN (SELECT m, k, bowler_p, count(*) AS n FROM slots WHERE how BETWEEN 0 AND 4 GROUP BY 1, 2, 3) w
             ON sl.m = w.m AND sl.k = w.k AND sl.p = w.bowler_p
-        WHERE p >= 7""",
+        WHERE p BETWEEN 5 AND 9""",
     "int_bowling_rows": f"""SELECT source_file_name, bowl AS bowling_team, tin AS team_innings_number,
-        k AS match_innings_sequence, p - 6 AS bowling_position, player_name,
+        k AS match_innings_sequence, p - 4 AS bowling_position, player_name,
         ({_overs('balls')} / 10.0)::DOUBLE AS overs,
         CASE WHEN fmt IN (2, 3, 6) THEN third END AS dots_bowled,
         CASE WHEN fmt NOT IN (2, 3, 6) THEN third END AS maidens,

@@ -31,9 +31,12 @@ class Scorecards:
         self.max_rows = max_rows
         self._done: dict[str, DataFrame] = {}
 
+    def folder(self, table: str) -> str:
+        return f"{self.path}/{table}"
+
     def stored(self, table: str) -> DataFrame:
         if table not in self._done:
-            target = f"{self.path}/{table}"
+            target = self.folder(table)
             self.frame(table).write.mode("overwrite").parquet(target)
             self._done[table] = self.spark.read.parquet(target)
         return self._done[table]
@@ -52,7 +55,7 @@ class Scorecards:
     def open(self) -> "Scorecards":
         """Use the tables an earlier build left under ``path``."""
         for table in TABLES:
-            self._done[table] = self.spark.read.parquet(f"{self.path}/{table}")
+            self._done[table] = self.spark.read.parquet(self.folder(table))
         return self
 
     def __getattr__(self, table: str) -> DataFrame:

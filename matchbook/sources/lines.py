@@ -2,29 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 
 # A whole file this size is still a small row; larger files are read in splits.
 WHOLE_FILE_BYTES = 4 * 1024 * 1024
 PATTERN = "*.txt"
+_COLUMNS = ["raw_line", "source_file_name", "source_file_row_number"]
 
 
 def split_lines(df: DataFrame, text: str, line: str, number: str) -> DataFrame:
     """One row per line of a text column: 1-based number, blanks kept, any line ending."""
-    body = F.regexp_replace(F.col(text), r"\r?\n$", "")
+    body = F.regexp_replace(F.col(text), r"(\r\n|\r|\n)\z", "")
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(F.split(body, r"\r?\n", -1)).alias("_at", line)).select(
+    return df.select(*others, F.posexplode(F.split(body, r"\r\n|\r|\n", -1)).alias("_at", line)).select(
         *others, line, (F.col("_at") + 1).cast("long").alias(number)
     )
 
 
-def _scan(spark: SparkSession, path: str, whole: bool) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", PATTERN)
+def _relative(path: str) -> Column:
+    """File name below the folder that was read. Paths arrive percent-encoded."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
+    return F.substring_index(decoded, f"/{root}/", -1)
+
+
+def scan_text(reader: DataFrameReader | DataStreamReader, path: str, whole: bool) -> DataFrame:
+    """Lines (or whole files) with the file's name, size, and where the split starts."""
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", PATTERN)
     return reader.text(path, wholetext=whole).select(
         "value",
-        F.col("_metadata.file_name").alias("source_file_name"),
+        _relative(path).alias("source_file_name"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_size").alias("_size"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -48,6 +58,22 @@ def number_splits(lines: DataFrame) -> DataFrame:
     )
 
 
+def small_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Whole files up to the size limit, split and numbered where they are read."""
+    kept = scan.where((F.col("_size") <= whole_file_bytes) & (F.length("value") > 0))
+    return split_lines(kept, "value", "raw_line", "source_file_row_number").select(*_COLUMNS)
+
+
+def large_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Lines of the files above the limit, numbered over their splits."""
+    kept = scan.where(F.col("_size") > whole_file_bytes)
+    return number_splits(kept).withColumnRenamed("value", "raw_line").select(*_COLUMNS)
+
+
+def with_load_time(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
 def read_lines(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """The raw line table of every ``.txt`` file below ``path``.
 
@@ -55,14 +81,6 @@ def read_lines(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FIL
     no shuffle. Larger files are read in splits by many tasks. The size test is on file metadata,
     so each scan only opens its own files.
     """
-    loaded_at = F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")
-    columns = ["raw_line", "source_file_name", "source_file_row_number"]
-    small = split_lines(
-        _scan(spark, path, True).where((F.col("_size") <= whole_file_bytes) & (F.length("value") > 0)),
-        "value",
-        "raw_line",
-        "source_file_row_number",
-    )
-    large = number_splits(_scan(spark, path, False).where(F.col("_size") > whole_file_bytes))
-    large = large.withColumnRenamed("value", "raw_line")
-    return small.select(*columns, loaded_at).unionByName(large.select(*columns, loaded_at))
+    small = small_files(scan_text(spark.read, path, True), whole_file_bytes)
+    large = large_files(scan_text(spark.read, path, False), whole_file_bytes)
+    return with_load_time(small.unionByName(large))
