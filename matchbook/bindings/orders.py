@@ -438,7 +438,7 @@ def resolve_suffix_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     fragment = F.right("s_name", (1 + F.col("s_suppkey") % 3).cast("int"))
     asked = supplier.withColumn("fragment", fragment).drop("s_name")
     guarded = F.when(F.col("s_suppkey") % 10 != 9, F.col("fragment"))
-    index = suffix_index(supplier, ["s_nationkey"], "s_name")
+    index = suffix_index(supplier, ["s_nationkey"], "s_name", asked, "fragment")
     return resolve_suffix(asked, index, ["s_nationkey"], guarded, "resolved", "hits").drop("s_nationkey")
 
 

@@ -16,24 +16,29 @@ def name_fragment(surname: Column | str) -> Column:
     return F.when(tail != "", tail).otherwise(F.concat(F.lit(" "), col_of(surname)))
 
 
-def suffix_index(roster: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """(keys, suffix) -> how many different names end in it, and one of them.
+def suffix_index(
+    roster: DataFrame, keys: Sequence[str], name: str, asked: DataFrame, fragment: str
+) -> DataFrame:
+    """(keys, suffix) -> how many different names end in it, and one of them, for asked suffixes.
 
-    Every name is exploded into its own suffixes (as many as it has letters), so a suffix test
-    becomes an equality join. No pair of rows of one group is ever formed, however large it is.
+    Every name gives its own endings, so a suffix test becomes an equality join and no pair of
+    rows of one group is ever formed, however large it is. Only endings of the asked lengths are
+    made; the distinct lengths, at most as many as the longest fragment has letters, travel as one
+    row. The asked suffixes are the hashed side: distinct, and spread by (keys, suffix).
     """
+    suffix = F.lower(F.col(fragment))
+    wanted = asked.select(*keys, suffix.alias("_suffix")).where(F.length("_suffix") > 0).distinct()
+    lengths = wanted.agg(F.collect_set(F.length("_suffix")).alias("_lengths"))
     lowered = F.lower(F.col(name))
+    endings = F.transform(
+        F.filter("_lengths", lambda n: n <= F.length(lowered)), lambda n: F.right(lowered, n)
+    )
     return (
         roster.select(*keys, name)
         .distinct()
-        .where(F.length(lowered) > 0)
-        .select(
-            *keys,
-            name,
-            F.explode(
-                F.transform(F.sequence(F.lit(1), F.length(lowered)), lambda i: F.substr(lowered, i))
-            ).alias("_suffix"),
-        )
+        .crossJoin(F.broadcast(lengths))
+        .select(*keys, name, F.explode(endings).alias("_suffix"))
+        .join(wanted.hint("shuffle_hash"), [*keys, "_suffix"])
         .groupBy(*keys, "_suffix")
         .agg(F.max(name).alias("_candidate"), F.count(F.lit(1)).alias("_hits"))
     )

@@ -68,7 +68,7 @@ class Scorecards:
         lines = "stg_row_classification"
         return {
             "stg_blocks": lambda: staging.blocks(t.scorecard_lines, n),
-            lines: lambda: staging.classified(staging.blocks(t.scorecard_lines, n)),
+            lines: lambda: staging.classified(t.stg_blocks),
             "int_match_header": lambda: entities.match_header(t.stored(lines)),
             "int_result": lambda: entities.result(t.stored(lines)),
             "int_innings_totals": lambda: entities.innings_totals(t.stored(lines), n),
@@ -88,12 +88,11 @@ class Scorecards:
             "dim_team": lambda: marts.dim_team(t.int_match_header),
             "dim_player": lambda: marts.dim_player(t.int_batting_rows, t.int_bowling_rows, t.int_result),
             "dim_match": lambda: marts.dim_match(
-                t.int_match_header, t.int_result, t.dim_team, t.dim_player, n
+                t.int_match_header, t.int_result, t.dim_team, n
             ),
             "fact_batting": lambda: marts.fact_batting(
                 t.int_batting_rows,
                 t.dim_match,
-                t.dim_player,
                 t.dim_team,
                 t.int_innings_totals,
                 t.int_batting_match_factor,
@@ -101,7 +100,6 @@ class Scorecards:
             "fact_bowling": lambda: marts.fact_bowling(
                 t.int_bowling_rows,
                 t.dim_match,
-                t.dim_player,
                 t.dim_team,
                 t.int_innings_totals,
                 t.int_bowling_match_factor,
@@ -109,7 +107,7 @@ class Scorecards:
             "fact_fow": lambda: marts.fact_fow(t.int_fow_rows, t.dim_match, t.dim_team),
             "fact_partnership": lambda: marts.fact_partnership(t.int_partnerships, t.dim_match, t.dim_team),
             "fact_fielding": lambda: marts.fact_fielding(
-                t.int_fielding_dismissals, t.dim_match, t.dim_player, t.dim_team
+                t.int_fielding_dismissals, t.dim_match, t.dim_team
             ),
             "fact_player_match_summary": lambda: marts.fact_player_match_summary(
                 t.fact_batting,
@@ -118,7 +116,6 @@ class Scorecards:
                 t.int_batting_match_factor,
                 t.int_bowling_match_factor,
                 t.dim_match,
-                t.dim_player,
             ),
             "fact_team_match_summary": lambda: marts.fact_team_match_summary(
                 t.int_innings_totals,

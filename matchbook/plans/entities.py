@@ -342,13 +342,14 @@ def fielding_dismissals(batting: DataFrame, header: DataFrame, bowling: DataFram
         batting.select(FILE, F.col("batting_team").alias("team"), "player_name")
         .unionByName(bowling.select(FILE, F.col("bowling_team").alias("team"), "player_name"))
     )
-    index = suffix_index(roster, [FILE, "team"], "player_name")
     # A caught-and-bowled row keeps its row but is not matched as a fielder.
     fielder = F.when(~F.col("caught_and_bowled"), name_fragment("_fielder"))
-    resolved = resolve_suffix(events, index, [FILE, "team"], fielder, "_fielder_name", "_fielder_hits")
-    resolved = resolve_suffix(
-        resolved, index, [FILE, "team"], name_fragment("_bowler"), "bowler_name", "bowler_match_count"
-    )
+    bowler = name_fragment("_bowler")
+    side = [FILE, "team"]
+    asked = events.select(*side, F.explode(F.array(fielder, bowler)).alias("_asked"))
+    index = suffix_index(roster, side, "player_name", asked, "_asked")
+    resolved = resolve_suffix(events, index, side, fielder, "_fielder_name", "_fielder_hits")
+    resolved = resolve_suffix(resolved, index, side, bowler, "bowler_name", "bowler_match_count")
     numbers = bowling.select(*INNINGS, "team_innings_number").distinct()
     own = F.col("caught_and_bowled")
     return as_table(

@@ -1,8 +1,15 @@
-"""Typed records -> star schema with hash keys."""
+"""Typed records -> star schema with hash keys.
+
+A key is a hash of the natural key, and the dimensions hold every name the facts use (the checks
+assert it), so player and match keys are computed where they are needed instead of joined in. A
+team is joined, because a header could name a side that is not in the match.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchbook.functions.measures import percent
@@ -33,23 +40,25 @@ def dim_player(batting: DataFrame, bowling: DataFrame, result: DataFrame) -> Dat
     return as_table(names.withColumn("player_id", surrogate_key("player_name")), "dim_player")
 
 
+def _key_of(name: str) -> Column:
+    return F.when(F.col(name).isNotNull(), surrogate_key(name))
+
+
 def dim_match(
-    header: DataFrame, result: DataFrame, teams: DataFrame, players: DataFrame, max_rows: int = MAX_ROWS
+    header: DataFrame, result: DataFrame, teams: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """One row per match, with its series for internationals.
 
     A series: the same two sides in the same format, at most 30 days between matches.
     """
-    home, away, winner = (role(teams, "team_id", r, "team_name") for r in ("home", "away", "winning"))
-    award = role(players, "player_id", "man_of_the_match", "player_name")
+    winner = role(teams, "team_id", "winning", "team_name")
     matches = (
         header.join(result, FILE)
-        .join(home, F.col("home_team") == F.col("home_team_name"))
-        .join(away, F.col("away_team") == F.col("away_team_name"))
         .join(winner, F.col("winning_team") == F.col("winning_team_name"), "left")
-        .join(award, F.col("man_of_the_match") == F.col("man_of_the_match_player_name"), "left")
-        .withColumnsRenamed({"man_of_the_match_player_id": "man_of_the_match_id"})
         .withColumn("match_id", surrogate_key(FILE))
+        .withColumn("home_team_id", surrogate_key("home_team"))
+        .withColumn("away_team_id", surrogate_key("away_team"))
+        .withColumn("man_of_the_match_id", _key_of("man_of_the_match"))
         .withColumn(
             "innings_per_team", F.when(F.col("match_format").isin("TEST", "FC_LEAGUE"), 2).otherwise(1)
         )
@@ -97,10 +106,6 @@ def _match_keys(matches: DataFrame) -> DataFrame:
     return matches.select(FILE, "match_id", "home_team_id", "away_team_id")
 
 
-def _with_player(df: DataFrame, players: DataFrame) -> DataFrame:
-    return df.join(players, "player_name")
-
-
 def _with_team(df: DataFrame, teams: DataFrame, column: str) -> DataFrame:
     return df.join(teams.withColumnRenamed("team_name", column), column)
 
@@ -108,7 +113,6 @@ def _with_team(df: DataFrame, teams: DataFrame, column: str) -> DataFrame:
 def fact_batting(
     batting: DataFrame,
     matches: DataFrame,
-    players: DataFrame,
     teams: DataFrame,
     innings: DataFrame,
     factor: DataFrame,
@@ -119,10 +123,11 @@ def fact_batting(
         .join(totals, [FILE, "batting_team", "team_innings_number"], "left")
         .join(_match_keys(matches), FILE)
     )
-    rows = _with_team(_with_player(rows, players), teams, "batting_team")
+    rows = _with_team(rows, teams, "batting_team")
     return as_table(
         rows.withColumns(
             {
+                "player_id": surrogate_key("player_name"),
                 "opposition_team_id": other_of("team_id", "home_team_id", "away_team_id"),
                 "strike_rate": percent("runs", "balls_faced"),
                 "pct_of_team_innings_runs": percent("runs", "total_runs"),
@@ -135,7 +140,6 @@ def fact_batting(
 def fact_bowling(
     bowling: DataFrame,
     matches: DataFrame,
-    players: DataFrame,
     teams: DataFrame,
     innings: DataFrame,
     factor: DataFrame,
@@ -149,10 +153,11 @@ def fact_bowling(
         .join(factor.select(FILE, "player_name", "bowling_match_factor"), [FILE, "player_name"], "left")
         .join(_match_keys(matches), FILE)
     )
-    rows = _with_team(_with_player(rows, players), teams, "bowling_team")
+    rows = _with_team(rows, teams, "bowling_team")
     return as_table(
         rows.withColumns(
             {
+                "player_id": surrogate_key("player_name"),
                 "opposition_team_id": other_of("team_id", "home_team_id", "away_team_id"),
                 "pct_of_team_innings_wickets": percent("wickets", "wickets_lost"),
             }
@@ -169,16 +174,10 @@ def fact_partnership(stands: DataFrame, matches: DataFrame, teams: DataFrame) ->
     return as_table(_with_team(stands.join(_match_keys(matches), FILE), teams, "team"), "fact_partnership")
 
 
-def fact_fielding(
-    events: DataFrame, matches: DataFrame, players: DataFrame, teams: DataFrame
-) -> DataFrame:
+def fact_fielding(events: DataFrame, matches: DataFrame, teams: DataFrame) -> DataFrame:
     rows = _with_team(events.join(_match_keys(matches), FILE), teams, "team")
-    for who, how in (("batter", "inner"), ("fielder", "left"), ("bowler", "left")):
-        person = players.select(
-            F.col("player_name").alias(f"{who}_name"), F.col("player_id").alias(f"{who}_id")
-        )
-        rows = rows.join(person, f"{who}_name", how)
-    return as_table(rows, "fact_fielding")
+    people = {f"{who}_id": _key_of(f"{who}_name") for who in ("batter", "fielder", "bowler")}
+    return as_table(rows.withColumns(people), "fact_fielding")
 
 
 def fact_player_match_summary(
@@ -188,57 +187,71 @@ def fact_player_match_summary(
     batting_factor: DataFrame,
     bowling_factor: DataFrame,
     matches: DataFrame,
-    players: DataFrame,
 ) -> DataFrame:
-    """One row per player, team and match. Counts default to 0; raw sums stay NULL without rows."""
+    """One row per player, team and match. Counts default to 0; raw sums stay NULL without rows.
+
+    The five sources are stacked and summed once per (match, player), combined before the one
+    shuffle, instead of joined to each other.
+    """
     key = ["match_id", "player_id"]
-    runs, wickets = F.col("runs"), F.col("wickets")
-    roster = (
-        batting.select(*key, "team_id").unionByName(bowling.select(*key, "team_id")).distinct()
-    )
-    bat = batting.groupBy(*key).agg(
-        F.sum("runs").alias("total_runs"),
-        F.sum("balls_faced").alias("total_balls_faced"),
-        F.sum("fours").alias("total_fours"),
-        F.sum("sixes").alias("total_sixes"),
-        F.sum(is_dismissal(F.col("dismissal_type"))).alias("dismissals"),
-        F.count_if(runs >= CENTURY).alias("centuries"),
-        F.count_if((runs >= HALF_CENTURY) & (runs < CENTURY)).alias("half_centuries"),
-        F.max("batting_match_factor").alias("batting_match_factor"),
-    )
-    bowl = bowling.groupBy(*key).agg(
-        F.sum("overs").alias("total_overs_naive"),
-        F.sum("runs_conceded").alias("total_runs_conceded"),
-        F.sum("wickets").alias("total_wickets"),
-        F.count_if(wickets >= HAUL).alias("five_wicket_hauls"),
-        F.max("bowling_match_factor").alias("bowling_match_factor"),
-    )
-    field = (
-        fielding.where(F.col("fielder_id").isNotNull())
-        .groupBy("match_id", F.col("fielder_id").alias("player_id"))
-        .agg(
-            F.count_if(F.col("dismissal_type") == "CAUGHT").alias("catches"),
-            F.count_if(F.col("dismissal_type") == "STUMPED").alias("stumpings"),
-        )
-    )
+    runs = F.col("runs")
 
-    def ingredients(factor: DataFrame, prefix: str, names: list[str]) -> DataFrame:
-        keyed = factor.join(matches.select(FILE, "match_id"), FILE).join(players, "player_name")
-        return keyed.select(*key, *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+    def one_if(condition: Column) -> Column:
+        return F.when(condition, 1).otherwise(0)
 
-    bat_parts = ingredients(
-        batting_factor, "mf_bat", ["own_runs", "own_dismissals", "peer_runs", "peer_dismissals"]
+    def ingredients(factor: DataFrame, prefix: str, names: list[str]) -> DataFrame:
+        ids = [surrogate_key(FILE).alias("match_id"), surrogate_key("player_name").alias("player_id")]
+        return factor.select(*ids, *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+
+    sources = [
+        batting.select(
+            *key,
+            F.col("runs").alias("total_runs"),
+            F.col("balls_faced").alias("total_balls_faced"),
+            F.col("fours").alias("total_fours"),
+            F.col("sixes").alias("total_sixes"),
+            is_dismissal(F.col("dismissal_type")).alias("dismissals"),
+            one_if(runs >= CENTURY).alias("centuries"),
+            one_if((runs >= HALF_CENTURY) & (runs < CENTURY)).alias("half_centuries"),
+            "batting_match_factor",
+        ),
+        bowling.select(
+            *key,
+            F.col("overs").alias("total_overs_naive"),
+            F.col("runs_conceded").alias("total_runs_conceded"),
+            F.col("wickets").alias("total_wickets"),
+            one_if(F.col("wickets") >= HAUL).alias("five_wicket_hauls"),
+            "bowling_match_factor",
+        ),
+        ingredients(
+            batting_factor, "mf_bat", ["own_runs", "own_dismissals", "peer_runs", "peer_dismissals"]
+        ),
+        ingredients(
+            bowling_factor,
+            "mf_bowl",
+            ["own_runs_conceded", "own_wickets", "peer_runs_conceded", "peer_wickets"],
+        ),
+        fielding.where(F.col("fielder_id").isNotNull()).select(
+            "match_id",
+            F.col("fielder_id").alias("player_id"),
+            one_if(F.col("dismissal_type") == "CAUGHT").alias("catches"),
+            one_if(F.col("dismissal_type") == "STUMPED").alias("stumpings"),
+        ),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
+    repeated = {"batting_match_factor", "bowling_match_factor"}  # the same on every innings row
+    figures = stacked.groupBy(*key).agg(
+        *[(F.max(c) if c in repeated else F.sum(c)).alias(c) for c in stacked.columns if c not in key]
     )
-    bowl_parts = ingredients(
-        bowling_factor, "mf_bowl", ["own_runs_conceded", "own_wickets", "peer_runs_conceded", "peer_wickets"]
+    roster = (
+        batting.select(*key, "team_id").unionByName(bowling.select(*key, "team_id")).distinct()
     )
-    rows = roster
-    for side in (bat, bowl, bat_parts, bowl_parts, field):
-        rows = rows.join(side, key, "left")
-    rows = rows.join(
-        matches.select("match_id", "home_team_id", "away_team_id", "man_of_the_match_id"), "match_id"
-    ).fillna(
-        0, ["dismissals", "centuries", "half_centuries", "five_wicket_hauls", "catches", "stumpings"]
+    rows = (
+        roster.join(figures, key)
+        .join(matches.select("match_id", "home_team_id", "away_team_id", "man_of_the_match_id"), "match_id")
+        .fillna(
+            0, ["dismissals", "centuries", "half_centuries", "five_wicket_hauls", "catches", "stumpings"]
+        )
     )
     return as_table(
         rows.withColumns(
