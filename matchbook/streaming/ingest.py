@@ -43,7 +43,8 @@ def ingest(
             lines.write.mode("overwrite").parquet(folder)
             if on_batch is not None:
                 written = batch.sparkSession.read.schema(RAW_LINES).parquet(folder)
-                on_batch(written, name)
+                if not written.isEmpty():
+                    on_batch(written, name)
 
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         query = (
