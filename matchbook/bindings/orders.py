@@ -366,13 +366,13 @@ def gap_series_orders(spark: SparkSession, folder: str) -> DataFrame:
 def series_state(spark: SparkSession, folder: str) -> DataFrame:
     """Wins of both sides so far, matches left, and whether the lead can still be caught."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    series = gap_series(orders, ["o_custkey"], "o_orderdate", "o_orderkey", 30)
     status = F.col("o_orderstatus")
-    run = scan_groups(
-        series,
-        ["o_custkey", "series_no"],
-        ["series_position"],
-        F.col("series_position"),
+    run = gap_series(
+        orders,
+        ["o_custkey"],
+        "o_orderdate",
+        "o_orderkey",
+        30,
         sums={
             "f_wins": F.when(status == "F", 1).otherwise(0),
             "o_wins": F.when(status == "O", 1).otherwise(0),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchbook.bindings.registry import Registry
 from matchbook.bindings.scorecards import plain
 from matchbook.functions.text import first_match, fixed, part, rx, squeeze, to_dec, to_int
-from matchbook.operators.chunks import chunk_groups, chunk_numbered, micros
+from matchbook.operators.chunks import MAX_ROWS, chunk_groups, chunk_numbered, micros
 from matchbook.operators.pivot import numbered_lines_to_columns
 from matchbook.operators.segment import segment_blocks
 from matchbook.sources.lines import split_lines
@@ -72,7 +72,10 @@ def segment_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Paragraph blocks of every document, cut at blank lines."""
     blank = F.trim("line") == ""
     lines = document_lines(spark, folder).select("doc_id", "line", "n").withColumn("_blank", blank)
-    cut = segment_blocks(chunk_numbered(lines, ["doc_id"], "n"), ["doc_id"], ["n"], "_blank", {})
+    # A text of fewer letters than the limit cannot have more lines than it.
+    long_texts = table(spark, folder, "documents").where(F.length("text") > MAX_ROWS)
+    chunked = chunk_numbered(lines, ["doc_id"], "n", suspects=long_texts)
+    cut = segment_blocks(chunked, ["doc_id"], ["n"], "_blank", {})
     return cut.groupBy("doc_id", "block_id").agg(
         F.count_if(~F.col("_blank")).alias("content_lines"),
         F.sum(F.length("line")).cast("long").alias("characters"),

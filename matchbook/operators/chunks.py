@@ -63,16 +63,18 @@ def chunk_numbered(
     keys: Sequence[str],
     number: str,
     max_rows: int = MAX_ROWS,
+    suspects: DataFrame | None = None,
 ) -> DataFrame:
     """The same for groups whose rows already carry a unique whole number, such as a line number.
 
     A group is hot when it has a row numbered beyond ``max_rows``. That test is a filter the scan
     can push down, so ordinary tables pay one pruned scan for it and no aggregate. The broadcast
-    side holds at most rows / max_rows groups, since line numbers are dense.
+    side holds at most rows / max_rows groups, since line numbers are dense. ``suspects`` may name
+    the groups that can be hot at all (any superset does), when that is cheaper to tell than by
+    numbering; they must be as few.
     """
-    hot = (
-        df.where(F.col(number) > max_rows).select(*keys).distinct().withColumn("_hot", F.lit(True))
-    )
+    beyond = df.where(F.col(number) > max_rows) if suspects is None else suspects
+    hot = beyond.select(*keys).distinct().withColumn("_hot", F.lit(True))
     slice_no = F.floor(F.col(number) / max_rows).cast("long")
     return (
         df.join(F.broadcast(hot), list(keys), "left")

@@ -24,7 +24,10 @@ def suffix_index(
     Every name gives its own endings, so a suffix test becomes an equality join and no pair of
     rows of one group is ever formed, however large it is. Only endings of the asked lengths are
     made; the distinct lengths, at most as many as the longest fragment has letters, travel as one
-    row. The asked suffixes are the hashed side: distinct, and spread by (keys, suffix).
+    row. Endings are counted before the shuffle, with a hash in place of the name because Spark
+    hashes groups by fixed-width sums but sorts them for text. Where one name has the ending, the
+    hash finds it again; the ending is tested once more, so another name with the same hash is
+    never taken for it.
     """
     suffix = F.lower(F.col(fragment))
     wanted = asked.select(*keys, suffix.alias("_suffix")).where(F.length("_suffix") > 0).distinct()
@@ -33,15 +36,19 @@ def suffix_index(
     endings = F.transform(
         F.filter("_lengths", lambda n: n <= F.length(lowered)), lambda n: F.right(lowered, n)
     )
-    return (
-        roster.select(*keys, name)
-        .distinct()
-        .crossJoin(F.broadcast(lengths))
-        .select(*keys, name, F.explode(endings).alias("_suffix"))
-        .join(wanted.hint("shuffle_hash"), [*keys, "_suffix"])
+    names = roster.select(*keys, name).distinct().withColumn("_hash", F.xxhash64(name))
+    counted = (
+        names.crossJoin(F.broadcast(lengths))
+        .select(*keys, "_hash", F.explode(endings).alias("_suffix"))
         .groupBy(*keys, "_suffix")
-        .agg(F.max(name).alias("_candidate"), F.count(F.lit(1)).alias("_hits"))
+        .agg(F.count(F.lit(1)).alias("_hits"), F.max("_hash").alias("_hash"))
+        .join(wanted.hint("shuffle_hash"), [*keys, "_suffix"])
+        .withColumn("_hash", F.when(F.col("_hits") == 1, F.col("_hash")))
     )
+    known = names.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_hash").alias("_of_hash"), F.col(name).alias("_candidate"))
+    same = [F.col(k) == F.col(f"_of_{k}") for k in keys] + [F.col("_hash") == F.col("_of_hash")]
+    ends = F.lower(F.col("_candidate")).endswith(F.col("_suffix"))
+    return counted.join(known, [*same, ends], "left").select(*keys, "_suffix", "_hits", "_candidate")
 
 
 def resolve_suffix(

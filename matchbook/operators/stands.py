@@ -44,21 +44,24 @@ def collapses(
 
     ``number`` counts the rows of a group 1, 2, 3, …; ``score`` is cumulative. A spell is
     measured from the score at the fall before its first one (0 at the start). Overlapping spells
-    merge. Rows meet by (group, number), an equality that spreads a hot group over all tasks.
+    merge. Rows meet by grouping on (group, number), which spreads a hot group over all tasks.
     Output: keys, first_fall, last_fall, score_before, score_after.
     """
-    now = df.select(*keys, F.col(number).alias("_n"), F.col(score).alias("_score"))
-    ahead = now.select(*keys, (F.col("_n") - falls).alias("_n"), F.col("_score").alias("_after"))
-    opening = (
-        now.where(F.col("_n") == 1)
-        .select(*keys, F.lit(0).cast("long").alias("_n"), F.lit(0).alias("_score"))
+    # Each row is a possible start at its own number and the end of the spell ``falls`` before.
+    number_, score_ = F.col(number).cast("long"), F.col(score).cast("long")
+    none = F.lit(None).cast("long")
+    ends = F.array(
+        F.struct(number_.alias("_from"), score_.alias("_score"), none.alias("_after")),
+        F.struct((number_ - falls).alias("_from"), none.alias("_score"), score_.alias("_after")),
     )
-    spells = (
-        opening.unionByName(now)
-        .join(ahead, [*keys, "_n"])
-        .where(F.col("_after") - F.col("_score") < limit)
-        .select(*keys, F.col("_n").cast("long").alias("_from"), "_score", "_after")
+    met = (
+        df.select(*keys, F.inline(ends))
+        .where(F.col("_from") >= 0)
+        .groupBy(*keys, "_from")
+        .agg(F.max("_score").alias("_score"), F.max("_after").alias("_after"))
     )
+    start = F.when(F.col("_from") == 0, F.lit(0).cast("long")).otherwise(F.col("_score"))
+    spells = met.withColumn("_score", start).where(F.col("_after") - F.col("_score") < limit)
     chunked = chunk_groups(spells, keys, F.col("_from"), max_rows)
     stepped = ordered_scan(chunked, keys, ["_from"], lags={"_before": "_from"})
     apart = F.coalesce(F.col("_from") - F.col("_before") >= falls, F.lit(True))

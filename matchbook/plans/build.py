@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +11,26 @@ from matchbook.operators.chunks import MAX_ROWS
 from matchbook.plans import entities, marts, staging
 from matchbook.schemas import COLUMNS, as_table
 
-# Tables in dependency order.
 TABLES = list(COLUMNS)
 RAW = "scorecard_lines"
+# Tables in dependency order; those of one wave do not read each other.
+WAVES = [
+    [RAW],
+    ["stg_blocks"],
+    ["stg_row_classification"],
+    ["int_match_header", "int_result", "int_innings_totals"],
+    ["int_batting_rows", "int_bowling_rows", "int_fow_rows", "dim_team"],
+    [
+        "int_partnerships",
+        "int_fielding_dismissals",
+        "int_batting_match_factor",
+        "int_bowling_match_factor",
+        "dim_player",
+        "dim_match",
+    ],
+    ["fact_batting", "fact_bowling", "fact_fow", "fact_partnership", "fact_fielding"],
+    ["fact_player_match_summary", "fact_team_match_summary"],
+]
 
 
 class Scorecards:
@@ -46,10 +64,15 @@ class Scorecards:
             return staging.scorecard_lines(self.raw)
         return as_table(self._models()[table](), table)
 
-    def build(self, tables: Iterable[str] = TABLES) -> "Scorecards":
-        """Write the tables in dependency order (a full refresh)."""
-        for table in tables:
-            self.stored(table)
+    def build(self) -> "Scorecards":
+        """Write every table in dependency order (a full refresh).
+
+        The tables of a wave are independent jobs and are submitted together, so that the short
+        ones do not leave executors idle.
+        """
+        for wave in WAVES:
+            with ThreadPoolExecutor(len(wave)) as jobs:
+                list(jobs.map(self.stored, wave))
         return self
 
     def open(self) -> "Scorecards":

@@ -10,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from matchbook.session import local_session
 
-    session = local_session("4", "matchbook-tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("4", "matchbook-tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"})
     yield session
     session.stop()

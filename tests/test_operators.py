@@ -166,3 +166,12 @@ def test_text(spark):
     assert got == (7, 8, None, None, None, 0, "")
     keys = one(spark, text.surrogate_key(lit("a"), lit(None).cast("string")), F.md5(lit("a-_dbt_utils_surrogate_key_null_")))
     assert keys[0] == keys[1]
+
+
+@pytest.mark.parametrize("size", [3, 1000])
+def test_sums_inside_a_series(spark, size):
+    days = [0, 5, 9, 60, 61, 200, 202, 204, 206]
+    rows = [("a", date(2026, 1, 1) + timedelta(d), i, i + 1) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "k string, d date, id long, v long")
+    got = gap_series(df, ["k"], "d", "id", 30, sums={"so_far": F.col("v")}, max_rows=size).collect()
+    assert {r.id: r.so_far for r in got} == {0: 1, 1: 3, 2: 6, 3: 4, 4: 9, 5: 6, 6: 13, 7: 21, 8: 30}
