@@ -114,6 +114,16 @@ def report(checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted).withColumn("passed", F.col("failures") == 0)
 
 
+def enforce(found: DataFrame) -> DataFrame:
+    """Stop on failed error checks; return the failed warnings. ``found`` has one row per check."""
+    failed = found.where(~F.col("passed"))
+    errors = failed.where(F.col("severity") == "error").select("check", "table_name", "column_name").collect()
+    if errors:
+        listed = "; ".join(f"{r[0]} on {r[1]}.{r[2]}" for r in errors)
+        raise ValueError(f"failed checks: {listed}")
+    return failed
+
+
 def _labels(check: Check) -> list[Column]:
     return [
         F.lit(check.name).alias("check"),

@@ -254,8 +254,8 @@ def player_profile(t) -> DataFrame:
     formats = (
         t.fact_player_match_summary.select("match_id", "player_id")
         .join(_matches(t, "match_format"), "match_id")
-        .select("player_id", "match_format").distinct()
-        .groupBy("player_id").agg(F.count(F.lit(1)).alias("formats"))
+        # At most one entry per format code.
+        .groupBy("player_id").agg(F.array_join(F.array_sort(F.collect_set("match_format")), ", ").alias("formats"))
     )
     highest = t.fact_batting.groupBy("player_id").agg(F.max("runs").alias("highest_score"))
     best = F.max(F.struct(F.col("wickets").alias("w"), (-F.col("runs_conceded")).alias("r")))
@@ -304,30 +304,95 @@ def bowling_form(t, n: int = 5) -> DataFrame:
     return recent_form(played, ["player_name"], order, text, n)
 
 
-def candidates(t) -> DataFrame:
-    """Pooled figures per player, international and domestic side by side, small samples flagged."""
-    rows = (
-        t.fact_batting.join(_matches(t, "match_format"), "match_id")
-        .withColumn("level", level())
-        .withColumn("out", is_dismissal(F.col("dismissal_type")))
+# The formats whose figures count for an international format.
+MATCHED = {
+    "TEST": {"international": ["TEST"], "domestic": ["FC_LEAGUE"]},
+    "ODI": {"international": ["ODI"], "domestic": ["LIST_A", "T20"]},
+    "T20I": {"international": ["T20I"], "domestic": ["T20", "HUNDRED"]},
+}
+SIDES = ["domestic", "international"]
+
+
+def _matched_matches(t) -> DataFrame:
+    """Each match once per international format it counts for, with its level."""
+    pairs = [
+        (fmt, target, side)
+        for target, sides in MATCHED.items()
+        for side, formats in sides.items()
+        for fmt in formats
+    ]
+    listed = ", ".join(f"('{fmt}', '{target}', '{side}')" for fmt, target, side in pairs)
+    counts_for = t.dim_match.sparkSession.sql(
+        f"SELECT * FROM VALUES {listed} AS pairs(match_format, selection_format, level)"
+    )
+    return _matches(t, "match_format").join(counts_for, "match_format")
+
+
+def batting_candidates(t) -> DataFrame:
+    """Batting per player and international format, with the matched domestic formats beside it.
+
+    Figures are pooled from sums within a level; levels are never added together.
+    """
+    rows = t.fact_batting.join(_matched_matches(t), "match_id").withColumn(
+        "out", is_dismissal(F.col("dismissal_type"))
     )
-    sums = rows.groupBy("player_id").pivot("level", ["domestic", "international"]).agg(
+    runs = F.col("runs")
+    sums = rows.groupBy("player_id", "selection_format").pivot("level", SIDES).agg(
         F.count("runs").alias("innings"),
         F.sum("runs").alias("runs"),
         F.sum("balls_faced").alias("balls"),
         F.sum("out").alias("outs"),
+        F.count_if(runs >= 100).alias("hundreds"),
+        F.count_if(runs.between(50, 99)).alias("fifties"),
+        # At most the two formats of a level.
+        F.array_join(F.array_sort(F.collect_set("match_format")), ", ").alias("formats"),
     )
     out = []
-    for side in ("domestic", "international"):
+    for side in SIDES:
         innings = F.coalesce(f"{side}_innings", F.lit(0))
         out += [
+            F.col(f"{side}_formats"),
             innings.alias(f"{side}_innings"),
             F.col(f"{side}_runs"),
             ratio(f"{side}_runs", f"{side}_outs").alias(f"{side}_average"),
             (ratio(f"{side}_runs", f"{side}_balls") * 100).alias(f"{side}_strike_rate"),
+            F.coalesce(f"{side}_hundreds", F.lit(0)).alias(f"{side}_hundreds"),
+            F.coalesce(f"{side}_fifties", F.lit(0)).alias(f"{side}_fifties"),
             (innings < SMALL_SAMPLE).alias(f"{side}_small_sample"),
         ]
-    return sums.join(_players(t), "player_id").select("player_name", *out)
+    return sums.join(_players(t), "player_id").select("player_name", "selection_format", *out)
+
+
+def bowling_candidates(t) -> DataFrame:
+    """The same for bowling: wickets, average, economy and balls per wicket."""
+    per_match = t.fact_bowling.groupBy("match_id", "player_id").agg(
+        F.sum("wickets").alias("wickets"),
+        F.sum("runs_conceded").alias("runs_conceded"),
+        F.sum(overs_to_balls("overs")).alias("balls"),
+    )
+    sums = (
+        per_match.join(_matched_matches(t), "match_id")
+        .groupBy("player_id", "selection_format")
+        .pivot("level", SIDES)
+        .agg(
+            F.count(F.lit(1)).alias("matches"),
+            F.sum("wickets").alias("wickets"),
+            F.sum("runs_conceded").alias("conceded"),
+            F.sum("balls").alias("balls"),
+        )
+    )
+    out = []
+    for side in SIDES:
+        matches, runs, balls = (F.col(f"{side}_{c}") for c in ("matches", "conceded", "balls"))
+        out += [
+            F.coalesce(matches, F.lit(0)).alias(f"{side}_matches"),
+            F.col(f"{side}_wickets"),
+            ratio(runs, f"{side}_wickets").alias(f"{side}_average"),
+            ratio(runs * 6, balls).alias(f"{side}_economy"),
+            ratio(balls, f"{side}_wickets").alias(f"{side}_strike_rate"),
+            (F.coalesce(matches, F.lit(0)) < SMALL_SAMPLE).alias(f"{side}_small_sample"),
+        ]
+    return sums.join(_players(t), "player_id").select("player_name", "selection_format", *out)
 
 
 def by_format_and_level(t) -> DataFrame:

@@ -122,6 +122,14 @@ def test_all_checks_pass_or_only_warn(cards):
     assert failed == []
 
 
+def test_errors_stop_and_warnings_are_listed(spark):
+    df = spark.createDataFrame([(None, 1), ("x", 2)], "a string, b int")
+    warned = quality.report([quality.not_null(df, "t", "a", severity="warn"), quality.unique(df, "t", "b")])
+    assert [r.column_name for r in quality.enforce(warned).collect()] == ["a"]
+    with pytest.raises(ValueError, match="not_null on t.a"):
+        quality.enforce(quality.report([quality.not_null(df, "t", "a")]))
+
+
 def test_unknown_metric_path_is_refused(cards):
     with pytest.raises(ValueError):
         metric(cards, ["fact_batting.total_runs"], by=["fielders.player_name"])
