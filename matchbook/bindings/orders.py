@@ -45,7 +45,8 @@ def _percent_sql(a: str, b: str) -> str:
 def order_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Lines summed per order and supplier. Combined before the shuffle, so one huge order shrinks
     to one row per supplier before anything is joined to it."""
-    return table(spark, folder, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(
+    lines = table(spark, folder, "lineitem").where(F.col("l_orderkey").isNotNull())
+    return lines.groupBy("l_orderkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
         F.sum(cents("l_extendedprice")).alias("cents"),
@@ -55,7 +56,7 @@ def order_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 _PARTS = f"""parts AS (SELECT l_orderkey, l_suppkey, count(*) AS lines, sum(l_quantity::BIGINT)::BIGINT AS quantity,
     sum({_PRICE})::BIGINT AS cents, count(*) FILTER (WHERE l_returnflag = 'R') AS returned
-    FROM lineitem GROUP BY 1, 2)"""
+    FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1, 2)"""
 
 
 @_add(
