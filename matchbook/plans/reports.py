@@ -351,7 +351,7 @@ def batting_candidates(t) -> DataFrame:
     for side in SIDES:
         innings = F.coalesce(f"{side}_innings", F.lit(0))
         out += [
-            F.col(f"{side}_formats"),
+            F.nullif(F.col(f"{side}_formats"), F.lit("")).alias(f"{side}_formats"),
             innings.alias(f"{side}_innings"),
             F.col(f"{side}_runs"),
             ratio(f"{side}_runs", f"{side}_outs").alias(f"{side}_average"),
