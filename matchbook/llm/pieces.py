@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -37,30 +38,46 @@ class ChunkTable:
         plain = self.model.decode(self.model.encode(probe)) == "a   b"  # nothing trimmed, folded or kept apart
         self.splits = plain and not any(MARK in p.lstrip(MARK) for p in pieces)
         self.most = most
-        self.ids: dict[str, list[int]] = {}
-        self.surface: dict[str, str] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids = np.zeros(0, np.int32)  # of all chunks, one after the other
+        self.ends = np.zeros(1, np.int64)
+        self.surface: list[str] = []
 
     def _learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.ids]
-        if len(self.ids) + len(new) > self.most:
-            self.ids, self.surface = {}, {}
+        new = [c for c in chunks if c not in self.index]
+        if len(self.index) + len(new) > self.most:
+            self._clear()
             new = list(chunks)
+        if not new:
+            return
         # The library adds one marker of its own, so it gets each chunk without its first space.
-        for chunk, ids in zip(new, self.model.encode([c[1:] for c in new], num_threads=1), strict=True):
-            self.ids[chunk] = ids or [self.model.piece_to_id(MARK)]
-        for chunk, text in zip(new, self.model.decode([self.ids[c] for c in new], num_threads=1), strict=True):
-            self.surface[chunk] = " " + text
-
-    def run(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+        alone = [self.model.piece_to_id(MARK)]
+        ids = [x or alone for x in self.model.encode([c[1:] for c in new], num_threads=1)]
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        self.surface += [" " + text for text in self.model.decode(ids, num_threads=1)]
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(list(map(len, ids))))
+        self.ids = np.append(self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32))
+
+    def run(self, texts: list[str]) -> tuple[pa.ListArray, list[str]]:
         """The ids of each text, and the text that decoding them gives."""
         if not self.splits:
             ids = self.model.encode(texts, num_threads=1)
-            return ids, self.model.decode(ids, num_threads=1)
+            return pa.array(ids, pa.list_(pa.int32())), self.model.decode(ids, num_threads=1)
         cut = [CHUNK.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         self._learn(set(itertools.chain.from_iterable(cut)))
-        known, surface = self.ids, self.surface
-        ids = [list(itertools.chain.from_iterable([known[c] for c in chunks])) for chunks in cut]
-        return ids, ["".join([surface[c] for c in chunks])[1:] for chunks in cut]
+        index, surface = self.index, self.surface
+        at = [[index[c] for c in chunks] for chunks in cut]
+        chunk = np.fromiter(itertools.chain.from_iterable(at), np.int64)
+        size = self.ends[chunk + 1] - self.ends[chunk]
+        before = np.append(0, np.cumsum(size))
+        # Place k of the output is place k - before + start of the table, for the chunk it belongs to.
+        places = np.arange(before[-1]) + np.repeat(self.ends[chunk] - before[:-1], size)
+        offsets = before[np.cumsum([0, *map(len, at)])].astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.ids[places]))
+        return ids, ["".join([surface[i] for i in one])[1:] for one in at]
 
 
 @lru_cache(maxsize=2)
@@ -88,7 +105,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
         for batch in batches:
             for part in slices(batch, text_col):
                 ids, decoded = table.run([t or "" for t in part.column(text_col).to_pylist()])
-                new = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                new = [ids, pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import mixing, pieces, pii, simhash, toxicity
+from matchbook.llm import blockmax, mixing, parsing, pieces, pii, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -23,6 +23,11 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@_add(None)
+def op2_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.against_next(table(spark, folder, "documents"))
+
+
 @_add(None)
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -59,6 +64,19 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", *token_digests())
 
 
+@_add(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+)
+def op9_block_max_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return blockmax.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def token_digests() -> list[F.Column]:
     return [
         F.size("ids").cast("long").alias("n_tokens"),
