@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, mixing, parsing, pieces, pii, simhash, toxicity
+from matchbook.llm import blockmax, mixing, parsing, pieces, pii, revisits, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -57,6 +57,39 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_add(
+    r"""WITH p AS (SELECT page_id, page_id % 10 AS digit, 10 * page_id AS taken_at, sha256(html) AS payload_sha256,
+            length(html)::BIGINT AS n, '"' || md5(html) || '"' AS tag, 'day ' || floor(page_id / 7)::BIGINT AS day,
+            CASE WHEN page_id % 10 = 5 THEN 10 * page_id - 1 ELSE 10 * page_id + 5 + page_id * 7919 % 200003 END AS later,
+            regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
+        q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT
+                regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|sessionid|phpsessid)(=|$)'))) AS kept FROM p),
+        s AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^(?:[^/?@]*@)?([^/?]*)', 1)), '^www[0-9]?\.', ''),
+                ':(80|443)$', '') || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+                || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS site FROM q),
+        f AS (SELECT site, taken_at, arg_max(s, page_id) AS hit FROM s GROUP BY site, taken_at),
+        r AS (SELECT s.*, f.hit, CASE WHEN f.site IS NULL THEN 'missing' WHEN digit = 3 THEN 'unchecked'
+                WHEN digit = 7 THEN CASE WHEN hit.day = s.day THEN 'resolved' ELSE 'mismatch' END
+                WHEN hit.tag = s.tag THEN 'resolved' ELSE 'mismatch' END AS outcome
+            FROM s ASOF LEFT JOIN f ON s.site = f.site AND s.later > f.taken_at)
+    SELECT page_id AS record_id, site, taken_at AS captured_at, 'response' AS kind, 'full' AS outcome, page_id AS ref_id,
+        payload_sha256, n AS payload_chars, 'cache-control=max-age=60;content-length=' || n
+        || ';content-type=text/html;etag=' || tag || ';last-modified=' || day AS headers FROM s
+    UNION ALL
+    SELECT page_id, site, later, 'revisit', outcome, CASE WHEN outcome = 'resolved' THEN hit.page_id END,
+        CASE WHEN outcome = 'resolved' THEN hit.payload_sha256 END, CASE WHEN outcome = 'resolved' THEN hit.n END,
+        'cache-control=max-age=600;content-length=' || CASE WHEN outcome = 'resolved' THEN hit.n || ';content-type=text/html'
+        ELSE '0' END || ';date=' || later
+        || CASE WHEN outcome = 'resolved' AND digit = 7 THEN ';etag=' || hit.tag WHEN digit IN (3, 7) THEN '' ELSE ';etag=W/' || tag END
+        || CASE WHEN digit = 3 THEN '' ELSE ';last-modified=' || day END FROM r"""
+)
+def op5_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    records = revisits.captures(table(spark, folder, "pages"))
+    resolved = revisits.resolve(records, carry=("payload_sha256", "payload_chars"))
+    fields = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return resolved.withColumn("headers", F.array_join(fields, ";"))
+
+
 @_add(None)
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
