@@ -12,7 +12,6 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,11 +79,6 @@ class ChunkTable:
         return ids, ["".join([surface[i] for i in one])[1:] for one in at]
 
 
-@lru_cache(maxsize=2)
-def _table(model: bytes) -> ChunkTable:
-    return ChunkTable(model)
-
-
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """Add the ids of each whole text and their decoding, exactly as the library gives them.
 
@@ -101,7 +95,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(model.value)
+        table = ChunkTable(model.value)
         for batch in batches:
             for part in slices(batch, text_col):
                 ids, decoded = table.run([t or "" for t in part.column(text_col).to_pylist()])

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -37,8 +36,7 @@ SECRET = re.compile(r"[ \t]*[:=][ \t]*[\"']?([A-Za-z0-9_./+-]{8,})")
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ -]?[A-Za-z0-9])*")
 
 
-@lru_cache(maxsize=1)
-def _automaton() -> ahocorasick.Automaton:
+def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for sign, kind in [("@", "at"), ("+", "plus"), *((d, "digit") for d in "0123456789")]:
         found.add_word(sign, (kind, 1))
@@ -81,11 +79,11 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
     return None
 
 
-def find(text: str) -> list[tuple[str, int, int]]:
+def find(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind; spans of one kind never overlap."""
     spans: list[tuple[str, int, int]] = []
     end = dict.fromkeys(("email", "dotted", "spaced", "phone", "url", "account", "secret"), 0)
-    for last, (kind, length) in _automaton().iter(text):
+    for last, (kind, length) in anchors.iter(text):
         at = last - length + 1
         if kind == "digit":
             if at >= end["dotted"]:
@@ -153,9 +151,10 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = automaton()
         for batch in batches:
             found = [
-                [{"kind": k, "start": a, "end": b} for k, a, b in find(t.as_py() or "")] for t in batch.column(1)
+                [{"kind": k, "start": a, "end": b} for k, a, b in find(t.as_py() or "", anchors)] for t in batch.column(1)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kinds)], names=["doc_id", "spans"])
 
@@ -169,9 +168,10 @@ def without_pii(docs: DataFrame) -> DataFrame:
     counts = [f.name for f in schema if f.name == "n_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = automaton()
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [None if t is None else redact(t, find(t)) for t in part.column("text").to_pylist()]
+                texts = [None if t is None else redact(t, find(t, anchors)) for t in part.column("text").to_pylist()]
                 columns = {n: part.column(n) for n in part.schema.names} | {"text": pa.array(texts, pa.string())}
                 for name in counts:
                     sizes = pa.array([None if t is None else len(t) for t in texts], pa.int64())

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, mixing, parsing, pieces, pii, revisits, simhash, toxicity
+from matchbook.llm import blockmax, language, mixing, parsing, pieces, pii, revisits, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -97,6 +97,11 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", *token_digests())
 
 
+@_add(None)
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "pages"), language.train(table(spark, folder, "documents")))
+
+
 @_add(
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

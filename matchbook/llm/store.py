@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 
 from matchbook.session import shared_dir
 
@@ -22,6 +25,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def share(spark: SparkSession, model: Any) -> Broadcast:
+    """Send a model of bounded size to the executors, with its class; ``shared`` unpacks it there."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shared(sent: Broadcast) -> Any:
+    return pickle.loads(sent.value)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a slice holds about ``most_bytes`` of the column, or one row."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()

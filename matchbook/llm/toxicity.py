@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchbook.llm.store import slices
+from matchbook.llm.store import share, shared, slices
 
 #: Labelled documents per class that the classifier is fitted on, and the longest text taken for fitting.
 FIT_DOCS, FIT_CHARS = 1500, 6000
@@ -320,11 +320,11 @@ def score(docs: DataFrame, machine: Machine | None, text_col: str = "text", colu
     empty table gives none, and a column of ``docs`` with the new name is replaced.
     """
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c != column])
-    model = docs.sparkSession.sparkContext.broadcast(machine)
+    sent = share(docs.sparkSession, machine)
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
+        own = shared(sent)
         for batch in batches:
             for part in slices(batch, text_col, 1 << 17):
                 texts = [t or "" for t in part.column(text_col).to_pylist()]
