@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, language, mixing, parsing, pieces, pii, revisits, simhash, toxicity
+from matchbook.llm import blockmax, language, mixing, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -97,6 +97,12 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", *token_digests())
 
 
+@_add(None)
+def op7_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return ngrams.score(docs, toxicity.held_out(5, 1))
+
+
 @_add(None)
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "pages"), language.train(table(spark, folder, "documents")))
