@@ -360,6 +360,14 @@ def _bigram_buckets(buckets: int, hot: np.ndarray):
 
 def _look_up(hot: np.ndarray, hot_counts: np.ndarray):
     """Build the trie of each bucket from all its bigrams, and look up those of every block."""
+    spare = hot_counts.astype(float) ** HEAPS
+    hot_weights = quantised(spare / np.maximum(hot_counts + spare, 1))
+
+    def known_weights(context: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        if not len(hot):
+            return weight
+        at = np.minimum(np.searchsorted(hot, context), len(hot) - 1)
+        return np.where(hot[at] == context, hot_weights[at], weight)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "bucket"):
@@ -381,6 +389,8 @@ def _look_up(hot: np.ndarray, hot_counts: np.ndarray):
                 totals = np.where(hot[at] == names, hot_counts[at], totals)
             trie = Trie(names, totals, starts, second, counts)
             answers = [trie.look_up(c, s) for c, s in zip(context, successor, strict=True)]
+            # A part of a cut context may hold none of its bigrams and so not its weight.
+            answers = [(code, known_weights(c, weight)) for (code, weight), c in zip(answers, context, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r["block"] for r in rows], pa.int64()),
