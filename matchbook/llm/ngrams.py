@@ -111,10 +111,9 @@ class EliasFano:
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each x the index of the first number not below it, and whether it is x."""
         x = x.astype(np.uint64)
-        high = (x >> np.uint64(self.width)).astype(np.int64)
-        last = len(self.high) * 64 - int(self.ones[-1]) - 1  # no number has a higher part beyond this
-        inside = high < last
-        h = np.where(inside, high, 0)
+        high = x >> np.uint64(self.width)
+        inside = high < np.uint64(len(self.high) * 64 - int(self.ones[-1]) - 1)  # no number has a higher part beyond
+        h = np.where(inside, high, 0).astype(np.int64)
         begin = np.where(h > 0, self._select0(np.maximum(h - 1, 0)) + 1 - h, 0)
         end = self._select0(h) - h
         begin, end = np.where(inside, begin, self.n), np.where(inside, end, self.n)

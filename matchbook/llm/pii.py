@@ -139,6 +139,13 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[done:]])
 
 
+def cleaned(text: str, anchors: ahocorasick.Automaton) -> str:
+    """Redact until nothing is found: a number that ran on into another one can stand alone after it is gone."""
+    while spans := find(text, anchors):
+        text = redact(text, spans)
+    return text
+
+
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
@@ -171,7 +178,7 @@ def without_pii(docs: DataFrame) -> DataFrame:
         anchors = automaton()
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [None if t is None else redact(t, find(t, anchors)) for t in part.column("text").to_pylist()]
+                texts = [None if t is None else cleaned(t, anchors) for t in part.column("text").to_pylist()]
                 columns = {n: part.column(n) for n in part.schema.names} | {"text": pa.array(texts, pa.string())}
                 for name in counts:
                     sizes = pa.array([None if t is None else len(t) for t in texts], pa.int64())
