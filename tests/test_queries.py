@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables, and on tables with hot keys."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -7,7 +9,9 @@ from tests.compare import connect, differences
 from tests.skewed import skewed_tables
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The training-data queries have tests of their own beside their package.
+QUERIES = {k: v for k, v in entry.queries().items() if not re.match(r"op[0-9]+_|pipeline$", k)}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
