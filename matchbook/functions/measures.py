@@ -11,15 +11,15 @@ BALLS_PER_OVER = 6
 
 
 def balls_to_overs(balls: Column | str) -> Column:
-    """20 balls -> 3.2 (three overs and two balls), as decimal(10,1)."""
+    """20 balls -> 3.2 (three overs and two balls), as decimal(20,1): any whole number of balls fits."""
     b = col_of(balls)
     tenths = F.floor(b / BALLS_PER_OVER) * 10 + b % BALLS_PER_OVER
-    return (tenths.cast("decimal(18,0)") / F.lit(10).cast("decimal(2,0)")).cast("decimal(10,1)")
+    return (tenths.cast("decimal(19,0)") / F.lit(10).cast("decimal(2,0)")).cast("decimal(20,1)")
 
 
 def overs_to_balls(overs: Column | str) -> Column:
     """3.2 -> 20, exact."""
-    tenths = (col_of(overs).cast("decimal(18,1)") * 10).cast("long")
+    tenths = (col_of(overs).cast("decimal(20,1)") * 10).cast("long")
     return F.floor(tenths / 10).cast("long") * BALLS_PER_OVER + tenths % 10
 
 

@@ -22,8 +22,18 @@ def micros(value: Column) -> Column:
     """A number that rises with a date or timestamp, independent of the session time zone."""
     day = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("long")
     stamp = value.cast("timestamp_ntz")
-    seconds = (F.hour(stamp) * 60 + F.minute(stamp)) * 60 + F.floor(F.second(stamp))
-    return day * 86400 + seconds
+    minutes = day * 1440 + F.hour(stamp) * 60 + F.minute(stamp)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), stamp) * 1_000_000).cast("long")
+
+
+def along(order: Sequence[str]) -> list[Column]:
+    """Sort columns of an ordered operator: unknown positions come last."""
+    return [F.col(c).asc_nulls_last() for c in order]
+
+
+def place(order: Sequence[str]) -> Column:
+    """A struct that compares like ``along`` sorts."""
+    return F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))])
 
 
 def chunk_groups(
@@ -34,7 +44,8 @@ def chunk_groups(
 ) -> DataFrame:
     """Add ``_chunk``: -1 for groups of at most ``max_rows`` rows, else a slice of the position.
 
-    ``position`` must be a number that never falls along the order used later. Only groups above
+    ``position`` must be a number that never falls along the order used later; rows without one
+    sort last and get the last slice. Only groups above
     ``max_rows`` reach the broadcast side, so it holds at most rows / max_rows rows (a few
     thousand per billion input rows). Slices are equal in width and four times as many as needed,
     to leave room for uneven positions.
@@ -52,7 +63,11 @@ def chunk_groups(
         df.join(F.broadcast(hot), list(keys), "left")
         .withColumn(
             CHUNK,
-            F.when(F.col("_n").isNull(), F.lit(_COLD)).when(width > 0, piece).otherwise(0).cast("long"),
+            F.when(F.col("_n").isNull(), F.lit(_COLD))
+            .when(spot.isNull(), F.col("_slices"))
+            .when(width > 0, piece)
+            .otherwise(0)
+            .cast("long"),
         )
         .drop("_n", "_lo", "_hi", "_slices")
     )

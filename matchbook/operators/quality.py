@@ -78,33 +78,34 @@ def expression_true(
 def same_row_count(
     source: DataFrame, derived: DataFrame, table: str, group: str, number: str, **kw
 ) -> Check:
-    """Per group, as many distinct line numbers in the derived table as in the source.
+    """Per group, the same line numbers in the derived table as in the source.
 
-    Both sides are reduced to one row per group before they meet, so no lines are joined.
+    Numbers are unique per group in a sound table, so their count, bounds and sum tell; all are combined
+    on the map side, and one row per group meets, so no lines are shuffled. A group of only one side fails.
     """
     def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(group).agg(F.countDistinct(number).alias(name))
+        n = F.col(number)
+        facts = F.struct(F.count(n), F.min(n), F.max(n), F.sum(n.cast("decimal(38,0)")))
+        return df.groupBy(group).agg(facts.alias(name))
 
-    both = counted(source, "source_lines").join(counted(derived, "lines"), group, "left")
-    return Check("same_row_count", table, number, both.where(
-        F.col("source_lines") != F.coalesce(F.col("lines"), F.lit(0))
-    ), **kw)
+    both = counted(source, "source_lines").join(counted(derived, "lines"), group, "full")
+    return Check("same_row_count", table, number, both.where(~F.col("source_lines").eqNullSafe(F.col("lines"))), **kw)
 
 
 def report(checks: Sequence[Check]) -> DataFrame:
     """One row per check: check, table_name, column_name, severity, failures, passed.
 
-    All row-by-row checks of a table are counted in one pass over it. An error fails the build, a
-    warning is only listed.
+    All row-by-row checks of a table (by its name and columns) are counted in one pass over it. An error fails
+    the build, a warning is only listed.
     """
-    passes: dict[int, list[Check]] = {}
+    passes: dict[tuple, list[Check]] = {}
     counted: list[DataFrame] = []
     for check in checks:
         if check.bad is None:
             total = check.rows.agg(F.count(F.lit(1)).alias("failures"))
             counted.append(total.select(*_labels(check), "failures"))
         else:
-            passes.setdefault(id(check.rows), []).append(check)
+            passes.setdefault((check.table, *check.rows.columns), []).append(check)
     for group in passes.values():
         totals = group[0].rows.agg(*[F.count_if(c.bad).alias(f"c{i}") for i, c in enumerate(group)])
         listed = F.array(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchbook.functions.text import col_of
-from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_groups
+from matchbook.operators.chunks import CHUNK, MAX_ROWS, along, chunk_groups, place
 
 
 def ordered_scan(
@@ -24,31 +24,32 @@ def ordered_scan(
     """Add running columns along ``order`` inside each group of a chunked frame.
 
     ``number`` is the 1-based row number, ``sums`` inclusive running sums, ``lags`` the previous
-    row's value, ``firsts`` the value of the group's first row. ``order`` must be total. The
+    row's value, ``firsts`` the value of the group's first row. ``order`` must be total; nulls in
+    it come last. The
     window runs per (group, chunk); chunk totals of hot groups are then carried forward. The big
     side of that join already has the window's partitioning, so it is not shuffled again.
     """
     sums, lags, firsts = dict(sums or {}), dict(lags or {}), dict(firsts or {})
     part = [*keys, CHUNK]
-    along = Window.partitionBy(*part).orderBy(*order)
-    running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy(*part).orderBy(*along(order))
+    running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inputs = {f"_in_{name}": col_of(value) for name, value in {**sums, **lags, **firsts}.items()}
     prepared = df.withColumns(inputs) if inputs else df
 
-    local = {"_rn": F.row_number().over(along).cast("long")}
+    local = {"_rn": F.row_number().over(within).cast("long")}
     local |= {name: F.sum(f"_in_{name}").over(running) for name in sums}
-    local |= {name: F.lag(f"_in_{name}").over(along) for name in lags}
+    local |= {name: F.lag(f"_in_{name}").over(within) for name in lags}
     local |= {name: F.first(f"_in_{name}").over(running) for name in firsts}
     scanned = prepared.withColumns(local)
 
     # One row per chunk of a hot group.
-    place = F.struct(*order)
+    at = place(order)
     totals = [F.count(F.lit(1)).alias("_rows")]
     totals += [F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in sums]
     if lags:
-        totals.append(F.max_by(F.struct(*[F.col(f"_in_{n}").alias(n) for n in lags]), place).alias("_last"))
+        totals.append(F.max_by(F.struct(*[F.col(f"_in_{n}").alias(n) for n in lags]), at).alias("_last"))
     if firsts:
-        totals.append(F.min_by(F.struct(*[F.col(f"_in_{n}").alias(n) for n in firsts]), place).alias("_first"))
+        totals.append(F.min_by(F.struct(*[F.col(f"_in_{n}").alias(n) for n in firsts]), at).alias("_first"))
     chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     before = chunks.rowsBetween(Window.unboundedPreceding, -1)
     carry = (

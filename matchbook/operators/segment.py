@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchbook.operators.chunks import CHUNK
+from matchbook.operators.chunks import CHUNK, along
 
 
 def segment_blocks(
@@ -30,7 +30,7 @@ def segment_blocks(
     """
     part = [*keys, CHUNK]
     whole = Window.partitionBy(*part)
-    running = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = whole.orderBy(*along(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_block = Window.partitionBy(*part, "_local")
     names = list(flags)
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_groups, micros
+from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_groups, micros, place
 from matchbook.operators.scan import ordered_scan
 
 
@@ -26,7 +26,7 @@ def gap_series(
     """Add series_no, series_position, series_size, plus values of the series' first row,
     totals of the series, and running sums inside it.
 
-    Rows of a group are ordered by (date, tie); a gap of more than ``max_gap_days`` days, or a
+    Rows of a group are ordered by (date, tie), unknown dates last; a gap of more than ``max_gap_days`` days, or a
     missing date on either side, starts a new series. Both scans share one shuffle; the series
     facts come from an aggregate joined back, so no window runs over a whole series.
     """
@@ -49,7 +49,7 @@ def gap_series(
     before = [
         F.min_by(F.col(f"_run_{n}") - F.col(f"_value_{n}"), "_pos").alias(f"_before_{n}") for n in sums
     ]
-    first_row = {n: F.min_by(v, F.struct(*order)).alias(n) for n, v in firsts.items()}
+    first_row = {n: F.min_by(v, place(order)).alias(n) for n, v in firsts.items()}
     facts = numbered.groupBy(*keys, "series_no").agg(
         F.min("_pos").alias("_start"),
         F.count(F.lit(1)).alias("series_size"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
@@ -22,11 +24,18 @@ def split_lines(df: DataFrame, text: str, line: str, number: str) -> DataFrame:
     )
 
 
+def base_folder(path: str) -> str:
+    """The folder that names are relative to: the part before any pattern, or the folder of a single file."""
+    plain = re.split(r"[*?\[{]", path, maxsplit=1)[0]
+    if plain != path or path.endswith(PATTERN[1:]):
+        plain = plain.rpartition("/")[0]
+    return plain.rstrip("/").split(":", 1)[-1].lstrip("/")
+
+
 def _relative(path: str) -> Column:
-    """File name below the folder that was read. Paths arrive percent-encoded."""
+    """File name below the folder, the same however the path was written. Paths arrive percent-encoded."""
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-    return F.substring_index(decoded, f"/{root}/", -1)
+    return F.substring_index(decoded, f"/{base_folder(path)}/", -1)
 
 
 def scan_text(reader: DataFrameReader | DataStreamReader, path: str, whole: bool) -> DataFrame:
@@ -61,6 +70,8 @@ def number_splits(lines: DataFrame) -> DataFrame:
 def small_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Whole files up to the size limit, split and numbered where they are read."""
     kept = scan.where((F.col("_size") <= whole_file_bytes) & (F.length("value") > 0))
+    # Reading by lines drops a byte-order mark, so reading whole files does too.
+    kept = kept.withColumn("value", F.regexp_replace("value", "^\\uFEFF", ""))
     return split_lines(kept, "value", "raw_line", "source_file_row_number").select(*_COLUMNS)
 
 

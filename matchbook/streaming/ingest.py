@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchbook.schemas import RAW_LINES
 from matchbook.sources.lines import (
@@ -15,6 +16,8 @@ from matchbook.sources.lines import (
     with_load_time,
 )
 
+# Files older than this against the newest one would be passed over.
+FOREVER = "100000d"
 OnBatch = Callable[[DataFrame, str], None]
 
 
@@ -31,7 +34,9 @@ def ingest(
 
     The stream's checkpoint remembers loaded files. Each micro-batch overwrites its own folder, so
     a batch repeated after a failure leaves no duplicates and a failed one no partial rows. Small
-    and large files are separate streams because they are numbered differently. ``on_batch``
+    and large files are separate streams because they are numbered differently; the size test is
+    part of each stream's plan, so a stream opens only its own files. A file counts however old
+    it is when it arrives. ``on_batch``
     receives the written lines of a batch and a name that is the same when it is repeated.
     """
     for kind, whole, numbered in (("small", True, small_files), ("large", False, large_files)):
@@ -46,9 +51,11 @@ def ingest(
                 if not written.isEmpty():
                     on_batch(written, name)
 
-        reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", FOREVER)
+        own = F.col("_size") <= whole_file_bytes if whole else F.col("_size") > whole_file_bytes
         query = (
             scan_text(reader, source, whole)
+            .where(own)
             .writeStream.foreachBatch(land)
             .option("checkpointLocation", f"{checkpoint}/{kind}")
             .trigger(availableNow=True)

@@ -1,6 +1,8 @@
 """Text files become numbered lines once, whatever their size, line ending or arrival."""
 
+import os
 import random
+import time
 
 import pytest
 
@@ -59,6 +61,27 @@ def test_files_load_once(spark, folder, tmp_path):
     assert raw_table(spark, raw).where("loaded_at is null").count() == 0
 
 
+def test_old_files_load_too(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    places = str(source), str(tmp_path / "raw"), str(tmp_path / "state")
+    (source / "a.txt").write_text("a\n")
+    ingest(spark, *places)
+    for name, age in (("new.txt", 0), ("old.txt", 30 * 86400)):
+        (source / name).write_text(f"{name}\n")
+        os.utime(source / name, (time.time() - age,) * 2)
+    ingest(spark, *places)
+    assert sorted(r.raw_line for r in raw_table(spark, places[1]).collect()) == ["a", "new.txt", "old.txt"]
+
+
+@pytest.mark.parametrize("whole_file_bytes", [10**9, 0])
+def test_byte_order_mark_and_patterns(spark, tmp_path, whole_file_bytes):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.txt").write_bytes("\ufeffhome\naway\n".encode())
+    for path, name in ((tmp_path, "sub/a.txt"), (tmp_path / "sub" / "*.txt", "a.txt"), (f"{tmp_path}/s*", "sub/a.txt"), (tmp_path / "sub" / "a.txt", "a.txt")):
+        assert as_files(read_lines(spark, str(path), whole_file_bytes)) == {name: [(1, "home"), (2, "away")]}
+
+
 def test_live_tables_equal_a_full_build(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -34,6 +34,19 @@ def grouped(rows):
     return out
 
 
+@pytest.mark.parametrize("size", [3, 1_000_000])
+def test_scan_with_unknown_and_equal_positions(spark, size):
+    rows = [("a", None if i % 5 == 0 else i // 4, i, i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, t long, id long, v long").repartition(3)
+    got = scan_groups(df, ["g"], ["t", "id"], F.col("t"), size, number="n", sums={"s": "v"}, lags={"p": "id"}, firsts={"f": "id"})
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2]))
+    want, total = [], 0
+    for n, r in enumerate(order, 1):
+        total += r[3]
+        want.append((r[2], n, total, order[n - 2][2] if n > 1 else None, order[0][2]))
+    assert sorted((r.id, r.n, r.s, r.p, r.f) for r in got.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("size", [4, 25, 1000])
 def test_scan(events, size):
     rows, df = events

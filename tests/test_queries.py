@@ -26,9 +26,11 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     found = differences(QUERIES[name](spark, FOLDER), con, ORACLES[name])
-    assert found in (None, "no rows")
+    assert found is None or (found == "no rows" and name in EMPTY)
 
 
+# Queries that rightly find nothing in the smallest tables.
+EMPTY: set[str] = set()
 HOT = [
     "segment_events", "segment_documents", "delta_stands", "collapse_windows", "small_steps", "gap_series_orders",
     "series_state", "running_average", "factor_running", "share_of_total", "opposition_residual_join",
@@ -53,5 +55,4 @@ def test_query_with_hot_keys_in_small_chunks(spark, hot, name, monkeypatch):
                 keywords = {k: 50 if v == 1_000_000 else v for k, v in (function.__kwdefaults__ or {}).items()}
                 if keywords:
                     monkeypatch.setattr(function, "__kwdefaults__", keywords)
-    found = differences(QUERIES[name](spark, hot), connect(hot), ORACLES[name])
-    assert found in (None, "no rows")
+    assert differences(QUERIES[name](spark, hot), connect(hot), ORACLES[name]) is None
