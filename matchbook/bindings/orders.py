@@ -18,7 +18,6 @@ from matchbook.functions.measures import (
 )
 from matchbook.functions.text import surrogate_key
 from matchbook.operators import quality
-from matchbook.operators.chunks import micros
 from matchbook.operators.factor import leave_one_out
 from matchbook.operators.rank import leaderboard, recent_form, top_per_group
 from matchbook.operators.resolve import resolve_suffix, suffix_index
@@ -283,7 +282,6 @@ def factor_running(spark: SparkSession, folder: str) -> DataFrame:
         dated,
         ["l_suppkey"],
         ["o_orderdate", "l_orderkey"],
-        micros(F.col("o_orderdate")),
         number="order_number",
         sums={f"_{c}": c for c in parts},
     )
@@ -302,7 +300,7 @@ def user_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Events of each user numbered in time, with the running sum of their values."""
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", cents("value").alias("c"))
     return scan_groups(
-        events, ["user_id"], ["ts", "event_id"], micros(F.col("ts")), number="n", sums={"score": "c"}
+        events, ["user_id"], ["ts", "event_id"], number="n", sums={"score": "c"}
     ).select("user_id", "n", "score", "c")
 
 
@@ -418,7 +416,6 @@ def running_average(spark: SparkSession, folder: str) -> DataFrame:
         orders,
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
-        micros(F.col("o_orderdate")),
         number="n",
         sums={"total": "c"},
     )
@@ -815,5 +812,5 @@ _ORDER_CHECK = """SELECT user_id, n, score, prev_score FROM (SELECT user_id, n,
 def small_steps(spark: SparkSession, folder: str) -> DataFrame:
     """Rows whose cumulative score rose by less than one unit: a window column, then a filter on it."""
     scores = user_scores(spark, folder)
-    stepped = scan_groups(scores, ["user_id"], ["n"], F.col("n"), lags={"prev_score": "score"})
+    stepped = scan_groups(scores, ["user_id"], ["n"], lags={"prev_score": "score"})
     return stepped.where(F.col("score") - F.col("prev_score") < 100).select("user_id", "n", "score", "prev_score")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchbook.bindings.registry import Registry
 from matchbook.bindings.scorecards import plain
 from matchbook.functions.text import first_match, fixed, part, rx, squeeze, to_dec, to_int
-from matchbook.operators.chunks import MAX_ROWS, chunk_groups, chunk_numbered, micros
+from matchbook.operators.chunks import MAX_ROWS, chunk_groups, chunk_numbered
 from matchbook.operators.pivot import numbered_lines_to_columns
 from matchbook.operators.segment import segment_blocks
 from matchbook.sources.lines import split_lines
@@ -46,7 +46,7 @@ def segment_events(spark: SparkSession, folder: str) -> DataFrame:
     )
     kind = F.col("event_type")
     cut = segment_blocks(
-        chunk_groups(events, ["user_id"], micros(F.col("ts"))),
+        chunk_groups(events, ["user_id"], ["ts", "event_id"]),
         ["user_id"],
         ["ts", "event_id"],
         "_marker",

@@ -2,8 +2,8 @@
 
 A window partitioned by a group runs each group in one task, so one group with a third of all rows
 would be the whole job. Ordered operators here work on (group, chunk) instead, and add what the
-earlier chunks of the same group carry over. Chunks are computed from the data alone (no task ids,
-no samples), so a lost and repeated task always gets the same chunk.
+earlier chunks of the same group carry over. Chunks are either computed from a row number, or cut from
+the sorted rows and stored, so a lost and repeated task always gets the same chunk.
 """
 
 from __future__ import annotations
@@ -13,19 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchbook.session import stored
+
 CHUNK = "_chunk"
 MAX_ROWS = 1_000_000
+PIECES: int | None = None
 _COLD = -1
 
 
-def micros(value: Column) -> Column:
-    """A number that rises with a date or timestamp, independent of the session time zone."""
-    day = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("long")
-    stamp = value.cast("timestamp_ntz")
-    minutes = day * 1440 + F.hour(stamp) * 60 + F.minute(stamp)
-    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), stamp) * 1_000_000).cast("long")
-
-
 def along(order: Sequence[str]) -> list[Column]:
     """Sort columns of an ordered operator: unknown positions come last."""
     return [F.col(c).asc_nulls_last() for c in order]
@@ -36,41 +31,18 @@ def place(order: Sequence[str]) -> Column:
     return F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))])
 
 
-def chunk_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: Column,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """Add ``_chunk``: -1 for groups of at most ``max_rows`` rows, else a slice of the position.
+def chunk_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """Add ``_chunk``: the rows sorted by group and ``order`` are cut into even pieces, numbered along the sort.
 
-    ``position`` must be a number that never falls along the order used later; rows without one
-    sort last and get the last slice. Only groups above
-    ``max_rows`` reach the broadcast side, so it holds at most rows / max_rows rows (a few
-    thousand per billion input rows). Slices are equal in width and four times as many as needed,
-    to leave room for uneven positions.
+    A group with many rows spans several pieces wherever its rows lie along the order, and also where positions
+    repeat, as long as ``order`` tells rows apart. Small groups share a piece. The frame is stored once, so both
+    readers of the chunks (the windows and what is carried between them) see the same cut, and what is above
+    it runs once. ``pieces`` defaults to the session's shuffle partitions, with small ones merged.
     """
-    spot = position.cast("double")
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(spot).alias("_lo"), F.max(spot).alias("_hi"))
-        .where(F.col("_n") > max_rows)
-        .withColumn("_slices", F.ceil(F.col("_n") / max_rows) * 4)
-    )
-    width = F.col("_hi") - F.col("_lo")
-    piece = F.floor((spot - F.col("_lo")) / width * (F.col("_slices") - 1))
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(
-            CHUNK,
-            F.when(F.col("_n").isNull(), F.lit(_COLD))
-            .when(spot.isNull(), F.col("_slices"))
-            .when(width > 0, piece)
-            .otherwise(0)
-            .cast("long"),
-        )
-        .drop("_n", "_lo", "_hi", "_slices")
-    )
+    by = [*[F.col(k) for k in keys], *along(order)]
+    pieces = pieces or PIECES
+    dealt = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    return stored(dealt.withColumn(CHUNK, F.spark_partition_id().cast("long")))
 
 
 def chunk_numbered(

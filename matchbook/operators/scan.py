@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchbook.functions.text import col_of
-from matchbook.operators.chunks import CHUNK, MAX_ROWS, along, chunk_groups, place
+from matchbook.operators.chunks import CHUNK, along, chunk_groups, place
 
 
 def ordered_scan(
@@ -63,6 +63,7 @@ def ordered_scan(
             *([F.lag("_last").over(chunks).alias("_c_last")] if lags else []),
             *([F.first("_first").over(before).alias("_c_first")] if firsts else []),
         )
+        .where(F.col("_c_rows") > 0)  # few: only a group that goes on from an earlier chunk has any
     )
     joined = scanned.join(carry, part, "left")
     out: dict[str, Column] = {}
@@ -85,12 +86,11 @@ def scan_groups(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    position: Column,
-    max_rows: int = MAX_ROWS,
+    pieces: int | None = None,
     **columns,
 ) -> DataFrame:
-    """Chunk hot groups by ``position``, scan, and drop the chunk again."""
-    return ordered_scan(chunk_groups(df, keys, position, max_rows), keys, order, **columns).drop(CHUNK)
+    """Cut the groups along ``order``, scan, and drop the chunk again."""
+    return ordered_scan(chunk_groups(df, keys, order, pieces), keys, order, **columns).drop(CHUNK)
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], **totals: Column) -> DataFrame:

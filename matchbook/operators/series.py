@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_groups, micros, place
+from matchbook.operators.chunks import CHUNK, chunk_groups, place
 from matchbook.operators.scan import ordered_scan
 
 
@@ -21,7 +21,7 @@ def gap_series(
     firsts: Mapping[str, Column | str] | None = None,
     totals: Mapping[str, Column] | None = None,
     sums: Mapping[str, Column] | None = None,
-    max_rows: int = MAX_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add series_no, series_position, series_size, plus values of the series' first row,
     totals of the series, and running sums inside it.
@@ -32,7 +32,7 @@ def gap_series(
     """
     firsts, totals, sums = dict(firsts or {}), dict(totals or {}), dict(sums or {})
     order = [date, tie]
-    chunked = chunk_groups(df, keys, micros(F.col(date)), max_rows)
+    chunked = chunk_groups(df, keys, order, pieces)
     stepped = ordered_scan(chunked, keys, order, number="_pos", lags={"_previous": date})
     gap = F.datediff(F.col(date), F.col("_previous"))
     values = {f"_value_{n}": F.coalesce(v, F.lit(0)).cast("long") for n, v in sums.items()}

@@ -38,7 +38,7 @@ def collapses(
     score: str,
     falls: int,
     limit: int,
-    max_rows: int = MAX_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Spells in which ``falls`` or more rows in a row fall for less than ``limit``.
 
@@ -62,7 +62,7 @@ def collapses(
     )
     start = F.when(F.col("_from") == 0, F.lit(0).cast("long")).otherwise(F.col("_score"))
     spells = met.withColumn("_score", start).where(F.col("_after") - F.col("_score") < limit)
-    chunked = chunk_groups(spells, keys, F.col("_from"), max_rows)
+    chunked = chunk_groups(spells, keys, ["_from"], pieces)
     stepped = ordered_scan(chunked, keys, ["_from"], lags={"_before": "_from"})
     apart = F.coalesce(F.col("_from") - F.col("_before") >= falls, F.lit(True))
     merged = ordered_scan(stepped, keys, ["_from"], sums={"_spell": F.when(apart, 1).otherwise(0)})

@@ -111,7 +111,7 @@ class Scorecards:
             "dim_team": lambda: marts.dim_team(t.int_match_header),
             "dim_player": lambda: marts.dim_player(t.int_batting_rows, t.int_bowling_rows, t.int_result),
             "dim_match": lambda: marts.dim_match(
-                t.int_match_header, t.int_result, t.dim_team, n
+                t.int_match_header, t.int_result, t.dim_team
             ),
             "fact_batting": lambda: marts.fact_batting(
                 t.int_batting_rows,

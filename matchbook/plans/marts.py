@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from matchbook.functions.measures import percent
 from matchbook.functions.text import other_of, rx, surrogate_key, to_int
-from matchbook.operators.chunks import MAX_ROWS
 from matchbook.operators.series import gap_series
 from matchbook.operators.star import role, union_names
 from matchbook.plans.entities import INTERNATIONALS, is_dismissal
@@ -45,7 +44,7 @@ def _key_of(name: str) -> Column:
 
 
 def dim_match(
-    header: DataFrame, result: DataFrame, teams: DataFrame, max_rows: int = MAX_ROWS
+    header: DataFrame, result: DataFrame, teams: DataFrame, pieces: int | None = None
 ) -> DataFrame:
     """One row per match, with its series for internationals.
 
@@ -86,7 +85,7 @@ def dim_match(
         SERIES_GAP_DAYS,
         firsts={"_first_title": "_title", "_first_date": "match_date"},
         totals={"_largest_label": F.max("_label")},
-        max_rows=max_rows,
+        pieces=pieces,
     )
     wording = F.when(F.col("match_format") == "TEST", "Test").otherwise(F.col("match_format"))
     series = numbered.select(

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchbook.functions.measures import overs_to_balls, pooled_batting, pooled_bowling, ratio
-from matchbook.operators.chunks import MAX_ROWS, micros
 from matchbook.operators.rank import leaderboard, recent_form, top_per_group
 from matchbook.operators.scan import scan_groups
 from matchbook.operators.stands import collapses
@@ -231,7 +230,6 @@ def meetings(t) -> DataFrame:
         played,
         ["team_a", "team_b"],
         ["match_date", "match_id"],
-        micros(F.col("match_date")),
         number="meeting",
     )
 
@@ -439,7 +437,7 @@ def field_benchmark(t, innings: int = SMALL_SAMPLE) -> DataFrame:
     )
 
 
-def season_in_innings(t, max_rows: int = MAX_ROWS) -> DataFrame:
+def season_in_innings(t, pieces: int | None = None) -> DataFrame:
     """Each innings of a batter in date order with the running average."""
     rows = (
         t.fact_batting.where(~F.col("did_not_bat"))
@@ -451,8 +449,7 @@ def season_in_innings(t, max_rows: int = MAX_ROWS) -> DataFrame:
         rows,
         ["player_id"],
         order,
-        micros(F.col("match_date")),
-        max_rows,
+        pieces,
         number="innings_number",
         sums={"runs_so_far": "runs", "outs_so_far": "out"},
     )
@@ -465,7 +462,7 @@ def season_in_innings(t, max_rows: int = MAX_ROWS) -> DataFrame:
     )
 
 
-def running_factor(t, max_rows: int = MAX_ROWS) -> DataFrame:
+def running_factor(t, pieces: int | None = None) -> DataFrame:
     """The pooled factors of each player after each match."""
     bat = [f"mf_bat_{c}" for c in ("own_runs", "own_dismissals", "peer_runs", "peer_dismissals")]
     bowl = [f"mf_bowl_{c}" for c in ("own_runs_conceded", "own_wickets", "peer_runs_conceded", "peer_wickets")]
@@ -478,8 +475,7 @@ def running_factor(t, max_rows: int = MAX_ROWS) -> DataFrame:
         rows,
         ["player_id"],
         ["match_date", "match_id"],
-        micros(F.col("match_date")),
-        max_rows,
+        pieces,
         number="match_number",
         sums={f"_{c}": c for c in bat + bowl},
     )
@@ -636,7 +632,7 @@ def incumbents(t, last: int = 5) -> DataFrame:
 
 
 # --- series and teams --------------------------------------------------------------------------
-def series_state(t, max_rows: int = MAX_ROWS) -> DataFrame:
+def series_state(t, pieces: int | None = None) -> DataFrame:
     """After each match of a series: wins of both sides, matches left, decided or live.
 
     Sides are named in alphabetical order; matches left count the scheduled ones not yet played
@@ -650,8 +646,7 @@ def series_state(t, max_rows: int = MAX_ROWS) -> DataFrame:
         played,
         ["series_id"],
         ["series_match_number"],
-        F.col("series_match_number"),
-        max_rows,
+        pieces,
         sums={
             "wins_a": F.when(F.col("winning_team") == side_a, 1).otherwise(0),
             "wins_b": F.when(F.col("winning_team") == side_b, 1).otherwise(0),
@@ -671,15 +666,14 @@ def series_state(t, max_rows: int = MAX_ROWS) -> DataFrame:
     )
 
 
-def team_form(t, max_rows: int = MAX_ROWS) -> DataFrame:
+def team_form(t, pieces: int | None = None) -> DataFrame:
     """A side's totals match by match in date order, with wins so far and the change in total."""
     rows = t.fact_team_match_summary.join(_matches(t, "match_date"), "match_id").join(_teams(t), "team_id")
     run = scan_groups(
         rows,
         ["team_name"],
         ["match_date", "match_id"],
-        micros(F.col("match_date")),
-        max_rows,
+        pieces,
         number="match_number",
         sums={"wins_so_far": F.when(F.col("won"), 1).otherwise(0)},
         lags={"_previous": "total_runs"},

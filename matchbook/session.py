@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="matchbook-")
     return _LOCAL_DIRS[app]
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """Write the frame to the shared folder and read it back: every reader sees the same rows."""
+    path = f"{shared_dir(frame.sparkSession)}/frames/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -34,11 +34,11 @@ def grouped(rows):
     return out
 
 
-@pytest.mark.parametrize("size", [3, 1_000_000])
+@pytest.mark.parametrize("size", [None, 9])
 def test_scan_with_unknown_and_equal_positions(spark, size):
     rows = [("a", None if i % 5 == 0 else i // 4, i, i % 7) for i in range(60)]
     df = spark.createDataFrame(rows, "g string, t long, id long, v long").repartition(3)
-    got = scan_groups(df, ["g"], ["t", "id"], F.col("t"), size, number="n", sums={"s": "v"}, lags={"p": "id"}, firsts={"f": "id"})
+    got = scan_groups(df, ["g"], ["t", "id"], size, number="n", sums={"s": "v"}, lags={"p": "id"}, firsts={"f": "id"})
     order = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2]))
     want, total = [], 0
     for n, r in enumerate(order, 1):
@@ -47,11 +47,11 @@ def test_scan_with_unknown_and_equal_positions(spark, size):
     assert sorted((r.id, r.n, r.s, r.p, r.f) for r in got.collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("size", [4, 25, 1000])
+@pytest.mark.parametrize("size", [None, 5, 40])
 def test_scan(events, size):
     rows, df = events
     got = scan_groups(
-        df, ["g"], ["t", "id"], F.col("t"), size,
+        df, ["g"], ["t", "id"], size,
         number="n", sums={"s": "v"}, lags={"before": "v"}, firsts={"start": "id"},
     ).collect()
     want = {}
@@ -64,11 +64,11 @@ def test_scan(events, size):
     assert {r.id: (r.n, r.s, r.before, r.start) for r in got} == want
 
 
-@pytest.mark.parametrize("size", [4, 25, 1000])
+@pytest.mark.parametrize("size", [None, 5, 40])
 def test_segments(events, size):
     rows, df = events
     cut = segment_blocks(
-        chunk_groups(df, ["g"], F.col("t"), size), ["g"], ["t", "id"], "mark", {"big": F.col("v") > 35}
+        chunk_groups(df, ["g"], ["t", "id"], size), ["g"], ["t", "id"], "mark", {"big": F.col("v") > 35}
     ).collect()
     want = {}
     for members in grouped(rows).values():
@@ -83,14 +83,14 @@ def test_segments(events, size):
     assert {r.id: (r.block_id, r.first_content, r.last_content, r.big) for r in cut} == want
 
 
-@pytest.mark.parametrize("size", [3, 1000])
+@pytest.mark.parametrize("size", [None, 12])
 def test_gap_series(spark, size):
     rng = random.Random(3)
     rows = [("a" if rng.random() < 0.8 else "b", date(2026, 1, 1) + timedelta(rng.randrange(900)), i) for i in range(90)]
     df = spark.createDataFrame(rows, "k string, d date, id long")
     got = {
         r.id: (r.series_no, r.series_position, r.series_size, r.opened)
-        for r in gap_series(df, ["k"], "d", "id", 10, firsts={"opened": "id"}, max_rows=size).collect()
+        for r in gap_series(df, ["k"], "d", "id", 10, firsts={"opened": "id"}, pieces=size).collect()
     }
     want = {}
     for k in ("a", "b"):
@@ -130,12 +130,14 @@ def test_deltas_and_collapses(spark, size):
     assert sorted((r.first_fall, r.last_fall, r.score_before, r.score_after) for r in got) == want
 
 
-def test_chunks_are_bounded_and_cold_groups_stay_whole(events):
-    rows, df = events
-    chunked = chunk_groups(df, ["g"], F.col("id"), 25)
-    sizes = {(r.g, r._chunk): r["count"] for r in chunked.groupBy("g", "_chunk").count().collect()}
-    assert max(sizes.values()) <= 50
-    assert {c for g, c in sizes if sum(n for (h, _), n in sizes.items() if h == g) <= 25} <= {-1}
+def test_chunks_are_bounded(events, spark):
+    _, df = events
+    chunked = chunk_groups(df, ["g"], ["t", "id"], 16)
+    assert max(r["count"] for r in chunked.groupBy("g", "_chunk").count().collect()) <= 2 * 400 / 16
+    # One early outlier and equal positions do not undo the cut.
+    flat = spark.range(10_000).selectExpr("'x' g", "if(id = 0, 0, 9000000) t", "id")
+    uneven = chunk_groups(flat, ["g"], ["t", "id"], 20)
+    assert max(r["count"] for r in uneven.groupBy("_chunk").count().collect()) <= 1000
     numbered = chunk_numbered(df.select(F.lit("f").alias("f"), "id"), ["f"], "id", 100)
     assert numbered.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 101
 
@@ -181,10 +183,10 @@ def test_text(spark):
     assert keys[0] == keys[1]
 
 
-@pytest.mark.parametrize("size", [3, 1000])
+@pytest.mark.parametrize("size", [None, 12])
 def test_sums_inside_a_series(spark, size):
     days = [0, 5, 9, 60, 61, 200, 202, 204, 206]
     rows = [("a", date(2026, 1, 1) + timedelta(d), i, i + 1) for i, d in enumerate(days)]
     df = spark.createDataFrame(rows, "k string, d date, id long, v long")
-    got = gap_series(df, ["k"], "d", "id", 30, sums={"so_far": F.col("v")}, max_rows=size).collect()
+    got = gap_series(df, ["k"], "d", "id", 30, sums={"so_far": F.col("v")}, pieces=size).collect()
     assert {r.id: r.so_far for r in got} == {0: 1, 1: 3, 2: 6, 3: 4, 4: 9, 5: 6, 6: 13, 7: 21, 8: 30}

@@ -45,6 +45,7 @@ def hot(tmp_path_factory):
 
 @pytest.mark.parametrize("name", HOT)
 def test_query_with_hot_keys_in_small_chunks(spark, hot, name, monkeypatch):
+    monkeypatch.setattr("matchbook.operators.chunks.PIECES", 7)
     for module in ("chunks", "scan", "series", "stands"):
         target = __import__(f"matchbook.operators.{module}", fromlist=["x"])
         for function in vars(target).values():
