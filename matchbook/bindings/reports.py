@@ -443,6 +443,29 @@ _metric(
 )
 
 
+def _metric_batting_and_bowling(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of two facts side by side, by each one's own player and the format."""
+    asked = ["fact_batting.total_runs", "fact_batting.innings_count", "fact_bowling.total_wickets", "fact_fielding.total_catches"]
+    return plain(metric(corpus(spark, folder), asked, by=["players.player_name", "dim_match.match_format"]))
+
+
+_metric_batting_and_bowling.__name__ = "metric_batting_and_bowling"
+REGISTRY.add(
+    expected(
+        """SELECT player_name, match_format, any_value(total_runs) AS total_runs, any_value(innings_count) AS innings_count,
+        any_value(total_wickets) AS total_wickets, any_value(total_catches) AS total_catches FROM (
+            SELECT player_name, match_format, sum(runs)::BIGINT AS total_runs, count(runs) AS innings_count,
+                NULL::BIGINT AS total_wickets, NULL::BIGINT AS total_catches
+            FROM fact_batting f JOIN dim_match d ON f.match_id = d.match_id LEFT JOIN dim_player p ON f.player_id = p.player_id GROUP BY 1, 2
+            UNION ALL SELECT player_name, match_format, NULL, NULL, sum(wickets)::BIGINT, NULL
+            FROM fact_bowling f JOIN dim_match d ON f.match_id = d.match_id LEFT JOIN dim_player p ON f.player_id = p.player_id GROUP BY 1, 2
+            UNION ALL SELECT player_name, match_format, NULL, NULL, NULL, sum(CASE WHEN dismissal_type = 'CAUGHT' THEN 1 ELSE 0 END)::BIGINT
+            FROM fact_fielding f JOIN dim_match d ON f.match_id = d.match_id LEFT JOIN dim_player p ON f.fielder_id = p.player_id GROUP BY 1, 2)
+        GROUP BY 1, 2"""
+    )
+)(_metric_batting_and_bowling)
+
+
 def sql_on_views(t: Scorecards) -> DataFrame:
     """Plain SQL on the views: every match with the names its foreign keys stand for, one join per registered link."""
     register_views(t)

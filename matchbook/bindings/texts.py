@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from matchbook.functions.text import first_match, fixed, part, rx, squeeze, to_d
 from matchbook.operators.chunks import MAX_ROWS, chunk_groups, chunk_numbered
 from matchbook.operators.pivot import numbered_lines_to_columns
 from matchbook.operators.segment import segment_blocks
+from matchbook.session import shared_dir
 from matchbook.sources.lines import split_lines
+from matchbook.streaming.ingest import ingest, raw_table
 from matchbook.sources.tables import cents, table
 
 REGISTRY = Registry()
@@ -266,3 +270,30 @@ def inline_cases(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("results"), F.sum(cents("value")).alias("cents"))
     )
     return results.join(cases, "input", "left")
+
+
+@_add(
+    f"""WITH {_DOCUMENT_LINES}, numbered AS (SELECT source, line, row_number() OVER (PARTITION BY source ORDER BY d.doc_id, n) AS row
+        FROM lines l JOIN documents d ON l.doc_id = d.doc_id)
+    SELECT source, count(*) AS lines, sum(length(line))::BIGINT AS characters, max(row) AS last_row,
+        sum(row * length(line))::BIGINT AS in_order, false AS loaded_twice FROM numbered GROUP BY source"""
+)
+def ingest_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of every source written as a text file, loaded as a stream of files, and asked for a second time."""
+    docs = table(spark, folder, "documents")
+    lines = document_lines(spark, folder).join(docs.select("doc_id", "source"), "doc_id")
+    place = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
+    written = lines.repartition("source").sortWithinPartitions("source", "doc_id", "n").select("source", "line")
+    written.write.option("maxRecordsPerFile", 0).partitionBy("source").text(f"{place}/in")
+    ingest(spark, f"{place}/in", f"{place}/raw", f"{place}/state", whole_file_bytes=100_000)
+    before = raw_table(spark, f"{place}/raw").count()
+    ingest(spark, f"{place}/in", f"{place}/raw", f"{place}/state", whole_file_bytes=100_000)
+    raw, row = raw_table(spark, f"{place}/raw"), F.col("source_file_row_number")
+    size = F.length("raw_line")
+    return raw.groupBy(F.regexp_extract("source_file_name", "source=([^/]*)", 1).alias("source")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(size).cast("long").alias("characters"),
+        F.max(row).alias("last_row"),
+        F.sum(row * size).cast("long").alias("in_order"),
+        F.lit(raw.count() != before).alias("loaded_twice"),
+    )

@@ -186,24 +186,51 @@ def metric(
     where: Mapping[str, Callable[[Column], Column]] | None = None,
     at_least: Column | None = None,
 ) -> DataFrame:
-    """``metrics`` of one fact grouped ``by`` dimensions, e.g.
+    """``metrics`` grouped ``by`` dimensions, e.g.
 
     ``metric(t, ["fact_batting.batting_average"], by=["batters.player_name"],
     where={"dim_match.match_format": lambda c: c == "TEST"})``
 
-    ``at_least`` filters the groups by their output columns (a minimum sample).
+    Metrics may come from several facts. Each fact is then grouped on its own and the groups are joined,
+    so rows of one do not multiply those of another; a group that one fact lacks has NULLs there. The
+    roles ``players`` and ``teams`` stand for each fact's own player and side. ``at_least`` filters the
+    groups by their output columns (a minimum sample).
     """
-    facts = {_split(m)[0] for m in metrics}
-    if len(facts) != 1:
-        raise ValueError(f"metrics of one fact at a time, not {sorted(facts)}")
-    fact = facts.pop()
-    where = dict(where or {})
-    frame = star_frame(tables, fact, [*by, *where])
-    for name, condition in where.items():
-        frame = frame.where(condition(F.col(flat(name))))
-    measures = [METRICS[fact][_split(m)[1]]().alias(_split(m)[1]) for m in metrics]
+    facts: dict[str, list[str]] = {}
+    for name in metrics:
+        fact, measure = _split(name)
+        facts.setdefault(fact, []).append(measure)
     names = [_split(b)[1] for b in by]
     labels = names if len(set(names)) == len(names) else [flat(b) for b in by]
-    grouped = frame.groupBy(*[F.col(flat(b)).alias(label) for b, label in zip(by, labels)])
-    out = grouped.agg(*measures)
+    parts = [_grouped(tables, fact, measures, by, labels, dict(where or {})) for fact, measures in facts.items()]
+    taken = [m for measures in facts.values() for m in measures]
+    if len(set(taken)) < len(taken):
+        raise ValueError("metrics of different facts with one name cannot stand side by side")
+    out = parts[0]
+    for part in parts[1:]:
+        right = part.select(*[F.col(label).alias(f"_{label}") for label in labels], *[c for c in part.columns if c not in labels])
+        met = [F.col(label).eqNullSafe(F.col(f"_{label}")) for label in labels]
+        joined = out.join(right, met, "full") if labels else out.crossJoin(right)
+        sides = [F.coalesce(label, f"_{label}").alias(label) for label in labels]
+        out = joined.select(*sides, *[c for c in [*out.columns, *right.columns] if c in taken])
     return out if at_least is None else out.where(at_least)
+
+
+def _grouped(tables, fact: str, measures: Sequence[str], by: Sequence[str], labels: Sequence[str], where: dict) -> DataFrame:
+    """The measures of one fact by the dimensions."""
+    own = [_own_role(fact, b) for b in by]
+    conditions = {_own_role(fact, name): condition for name, condition in where.items()}
+    frame = star_frame(tables, fact, [*own, *conditions])
+    for name, condition in conditions.items():
+        frame = frame.where(condition(F.col(flat(name))))
+    grouped = frame.groupBy(*[F.col(flat(b)).alias(label) for b, label in zip(own, labels)])
+    return grouped.agg(*[METRICS[fact][m]().alias(m) for m in measures])
+
+
+def _own_role(fact: str, name: str) -> str:
+    """``players.x`` and ``teams.x`` under the fact's own role."""
+    role, column = _split(name)
+    if role in ("players", "teams"):
+        key = "team_id" if role == "teams" else "fielder_id" if "fielder_id" in LINKS[fact] else "player_id"
+        role = LINKS[fact][key]
+    return f"{role}.{column}"
