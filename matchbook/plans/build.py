@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from matchbook.operators.chunks import MAX_ROWS
 from matchbook.plans import entities, marts, staging
@@ -13,11 +14,14 @@ from matchbook.schemas import COLUMNS, as_table
 
 TABLES = list(COLUMNS)
 RAW = "scorecard_lines"
+# The one table that holds the text. It is stored by the role of the line, so that each reader opens only its lines;
+# the raw lines and the blocks are views of it.
+LINES = "stg_row_classification"
+VIEWS = {RAW: ["raw_line", "source_file_name", "source_file_row_number", "loaded_at"], "stg_blocks": None}
 # Tables in dependency order; those of one wave do not read each other.
 WAVES = [
-    [RAW],
+    [LINES],
     ["stg_blocks"],
-    ["stg_row_classification"],
     ["int_match_header", "int_result", "int_innings_totals"],
     ["int_batting_rows", "int_bowling_rows", "int_fow_rows", "dim_team"],
     [
@@ -53,12 +57,19 @@ class Scorecards:
         return f"{self.path}/{table}"
 
     def stored(self, table: str) -> DataFrame:
-        if table not in self._done:
-            target = self.folder(table)
-            self.frame(table).write.mode("overwrite").parquet(target)
-            self._done[table] = self.spark.read.parquet(target)
+        if table in self._done:
+            return self._done[table]
+        if table == "stg_blocks" or (table == RAW and LINES in self._done):
+            return self.stored(LINES).select(*(VIEWS[table] or COLUMNS[table]))
+        target, frame = self.folder(table), self.frame(table)
+        writer = frame.write.mode("overwrite")
+        (writer.partitionBy("row_type") if table == LINES else writer).parquet(target)
+        self._done[table] = self._read(table, frame.schema)
         return self._done[table]
 
+    def _read(self, table: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.folder(table)).select(*schema.names)
+
     def frame(self, table: str) -> DataFrame:
         if table == RAW:
             return staging.scorecard_lines(self.raw)
@@ -78,7 +89,8 @@ class Scorecards:
     def open(self) -> "Scorecards":
         """Use the tables an earlier build left under ``path``."""
         for table in TABLES:
-            self._done[table] = self.spark.read.parquet(self.folder(table))
+            if table not in VIEWS:
+                self._done[table] = self.spark.read.parquet(self.folder(table)).select(*COLUMNS[table])
         return self
 
     def __getattr__(self, table: str) -> DataFrame:
@@ -87,11 +99,10 @@ class Scorecards:
         raise AttributeError(table)
 
     def _models(self) -> dict[str, Callable[[], DataFrame]]:
-        t, n = self, self.max_rows
-        lines = "stg_row_classification"
+        t, n, lines = self, self.max_rows, LINES
         return {
-            "stg_blocks": lambda: staging.blocks(t.scorecard_lines, n),
-            lines: lambda: staging.classified(t.stg_blocks),
+            "stg_blocks": lambda: t.stored("stg_blocks"),
+            lines: lambda: staging.classified(staging.blocks(t._done.get(RAW) or t.frame(RAW), n)),
             "int_match_header": lambda: entities.match_header(t.stored(lines)),
             "int_result": lambda: entities.result(t.stored(lines)),
             "int_innings_totals": lambda: entities.innings_totals(t.stored(lines), n),

@@ -134,7 +134,18 @@ def test_unknown_metric_path_is_refused(cards):
     with pytest.raises(ValueError):
         metric(cards, ["fact_batting.total_runs"], by=["fielders.player_name"])
     with pytest.raises(ValueError):
-        metric(cards, ["fact_batting.total_runs", "fact_bowling.total_wickets"])
+        metric(cards, ["fact_batting.total_runs", "fact_bowling.total_wickets"], by=["batters.player_name"])
+
+
+def test_facts_side_by_side(cards):
+    """Each fact is summed on its own: the figures are those of the facts asked for alone."""
+    asked = ["fact_batting.total_runs", "fact_bowling.total_wickets"]
+    both = metric(cards, asked).first()
+    assert both.total_runs == metric(cards, asked[:1]).first().total_runs
+    assert both.total_wickets == metric(cards, asked[1:]).first().total_wickets
+    by = {r.player_name: r for r in metric(cards, asked, by=["players.player_name"]).collect()}
+    alone = {r.player_name: r.total_wickets for r in metric(cards, asked[1:], by=["bowlers.player_name"]).collect()}
+    assert {n: r.total_wickets for n, r in by.items() if r.total_wickets is not None} == alone
 
 
 def changed(*pairs):
