@@ -25,6 +25,7 @@ from matchbook.operators.scan import scan_groups, with_totals
 from matchbook.operators.series import gap_series
 from matchbook.operators.stands import collapses, cumulative_deltas
 from matchbook.operators.star import role, union_names
+from matchbook.session import stored
 from matchbook.sources.tables import cents, table
 
 REGISTRY = Registry()
@@ -316,7 +317,7 @@ _SCORES = f"""scores AS (SELECT user_id, {_VALUE} AS c,
 )
 def delta_stands(spark: SparkSession, folder: str) -> DataFrame:
     """Differences of a cumulative score add up to it again."""
-    deltas = cumulative_deltas(user_scores(spark, folder), ["user_id"], "n", "score", "delta")
+    deltas = cumulative_deltas(stored(user_scores(spark, folder)), ["user_id"], "n", "score", "delta")
     return deltas.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("stands"),
         F.sum("delta").alias("added"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchbook.operators.chunks import CHUNK, chunk_groups, place
 from matchbook.operators.scan import ordered_scan
+from matchbook.session import stored
 
 
 def gap_series(
@@ -45,6 +46,7 @@ def gap_series(
             **{f"_run_{n}": f"_value_{n}" for n in sums},
         },
     ).drop(CHUNK, "_previous")
+    numbered = stored(numbered)  # read twice: for the facts of each series, and for the rows
     # What the group had summed up before the series began.
     before = [
         F.min_by(F.col(f"_run_{n}") - F.col(f"_value_{n}"), "_pos").alias(f"_before_{n}") for n in sums
