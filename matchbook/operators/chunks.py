@@ -18,6 +18,7 @@ from matchbook.session import stored
 CHUNK = "_chunk"
 MAX_ROWS = 1_000_000
 PIECES: int | None = None
+LISTED = 10_000
 _COLD = -1
 
 
@@ -55,16 +56,19 @@ def chunk_numbered(
     """The same for groups whose rows already carry a unique whole number, such as a line number.
 
     A group is hot when it has a row numbered beyond ``max_rows``. That test is a filter the scan
-    can push down, so ordinary tables pay one pruned scan for it and no aggregate. The broadcast
-    side holds at most rows / max_rows groups, since line numbers are dense. ``suspects`` may name
-    the groups that can be hot at all (any superset does), when that is cheaper to tell than by
-    numbering; they must be as few.
+    can push down, so ordinary tables pay one pruned scan for it and no aggregate. The list of hot
+    groups is counted first: without any there is no join, a list of at most ``LISTED`` groups is
+    broadcast, a longer one joined like any table. ``suspects`` may name the groups that can be
+    hot at all (any superset does), when that is cheaper to tell than by numbering.
     """
     beyond = df.where(F.col(number) > max_rows) if suspects is None else suspects
     hot = beyond.select(*keys).distinct().withColumn("_hot", F.lit(True))
+    listed = hot.limit(LISTED + 1).count()
+    if not listed:
+        return df.withColumn(CHUNK, F.lit(_COLD).cast("long"))
     slice_no = F.floor(F.col(number) / max_rows).cast("long")
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
+        df.join(F.broadcast(hot) if listed <= LISTED else hot, list(keys), "left")
         .withColumn(CHUNK, F.when(F.col("_hot"), slice_no).otherwise(F.lit(_COLD).cast("long")))
         .drop("_hot")
     )
