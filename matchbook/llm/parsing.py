@@ -4,7 +4,7 @@ A text is parsed bottom up. On each level runs of one symbol become one symbol;
 by the lowest bit in which it differs from its left neighbour, and labels are tossed again until few are left.
 Symbols with a label above both neighbours' start a phrase, and a phrase is named by a hash of its symbols.
 Where a phrase starts depends on a few symbols around it only, so equal substrings get equal phrases inside,
-wherever they stand. A fingerprint keeps, for 64 bins of phrase names, the smallest hash in the bin; the
+wherever they stand. A fingerprint keeps, for 64 bins of phrase names of all levels, the smallest hash in the bin; the
 likeness of two is the share of filled bins on which they agree, which estimates the share of common phrases.
 """
 
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 BINS = 64
 TOSSES = 4  # 64-bit names to labels below 6
-#: Texts shorter than this also count their phrases of the lowest level; longer ones start at the second.
-SHORT = 256
 #: Characters parsed at once.
 AT_ONCE = 1 << 19
 #: Documents per range of ids, and the most ranges.
@@ -96,11 +94,10 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     while len(names):
         names, owner = parse(names, owner)
         level += 1
-        alone = np.bincount(owner, minlength=len(texts)) == 1  # the name of a whole text always counts
-        chosen = alone[owner] | (level > 1) | (sizes[owner] < SHORT)
-        value = _mix(names[chosen] + np.uint64(level * int(_C) % 2**64))
-        slot = owner[chosen] * BINS + (value % np.uint64(BINS)).astype(np.int64)
+        value = _mix(names + np.uint64(level * int(_C) % 2**64))
+        slot = owner * BINS + (value % np.uint64(BINS)).astype(np.int64)
         np.minimum.at(best, slot, 1 + ((value >> np.uint64(16)) % np.uint64(65535)).astype(np.int64))
+        alone = np.bincount(owner, minlength=len(texts)) == 1
         more = ~alone[owner]
         names, owner = names[more], owner[more]
     return np.where(best == 1 << 16, 0, best).reshape(-1, BINS).astype(np.uint16)

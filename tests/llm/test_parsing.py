@@ -55,6 +55,20 @@ def test_equal_substrings_share_inner_phrases():
     assert near[0] > 0.8 and near[1] < 0.2
 
 
+def test_length_does_not_change_what_is_compared():
+    """Near copies are alike on both sides of, and across, any length."""
+    rng = random.Random(3)
+    near = {}
+    for size in (200, 257, 300, 1000):
+        texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(size)) for _ in range(100)]
+        whole, cut = parsing.fingerprints(texts), parsing.fingerprints([t[:-2] for t in texts])
+        near[size] = parsing.likeness(whole, cut)
+    assert min(x.mean() for x in near.values()) > 0.8 and min(x.min() for x in near.values()) > 0.6
+    texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(400)) for _ in range(100)]
+    halves = parsing.fingerprints([parsing.edited(t, "") for t in texts])
+    assert parsing.likeness(parsing.fingerprints(texts), halves).mean() > 0.35
+
+
 def test_texts_do_not_influence_each_other():
     texts = ["", "a", "aaaaaaa", "abab" * 50, "hello world", "x" * 5000, "the same", "the same"]
     together = parsing.fingerprints(texts)
