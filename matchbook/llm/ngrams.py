@@ -9,7 +9,8 @@ answers go back to the blocks, which add up their documents. Nothing depends on
 A level is a monotone sequence in Elias-Fano form. Successors are stored relative to their context (its rank in
 front of theirs), so a lookup is a successor search within the range that the context's pointers give.
 Smoothing is Witten-Bell with the number of different successors taken from Heaps' law, t = c ** 0.9: a context
-seen c times leaves t / (c + t) of its probability to the word's own. Both parts are stored in 8 bits.
+seen c times leaves t / (c + t) of its probability to the word's own. Both parts are stored in 8 bits, whose range
+reaches down to a bigram seen once after the commonest context.
 """
 
 from __future__ import annotations
@@ -36,13 +37,26 @@ BLOCK, BUCKET, READ = 1 << 20, 1 << 19, 6 << 20
 HOT, SALTS = 0.001, 16
 END, START = (xxhash.xxh64_intdigest(x) for x in (b"", b" "))  # no word is empty or a space
 
-# 8-bit code k, from 1: 10 ** (-7 * (255 - k) / 254); 0: none.
-CODE_LOGS = np.append(-np.inf, -7 * (255 - np.arange(1, 256)) / 254)
+#: The codes reach down to 10 ** -DEPTH, and further where a context is seen so often that its rarest successor is below.
+DEPTH = 7.0
 
 
-def quantised(p: np.ndarray) -> np.ndarray:
+def depth_for(most: int) -> float:
+    """How far codes must reach down, in log10, for a bigram seen once after a context seen ``most`` times."""
+    return max(DEPTH, float(np.log10(most + most**HEAPS)) if most > 0 else 0.0)
+
+
+def code_logs(depth: float) -> np.ndarray:
+    """log10 of the probability of each 8-bit code k: 10 ** (-depth * (255 - k) / 254) from 1; 0: none."""
+    return np.append(-np.inf, -depth * (255 - np.arange(1, 256)) / 254)
+
+
+CODE_LOGS = code_logs(DEPTH)
+
+
+def quantised(p: np.ndarray, depth: float = DEPTH) -> np.ndarray:
     """The nearest 8-bit code of a probability; 0 for 0."""
-    code = np.rint(255 + np.log10(np.maximum(p, 1e-300)) * 254 / 7)
+    code = np.rint(255 + np.log10(np.maximum(p, 1e-300)) * 254 / depth)
     return np.where(p > 0, np.clip(code, 1, 255), 0).astype(np.uint8)
 
 
@@ -130,8 +144,20 @@ class EliasFano:
 class Trie:
     """Two levels: contexts with a weight for the word's own probability, successors with theirs."""
 
-    def __init__(self, contexts: np.ndarray, totals: np.ndarray, starts: np.ndarray, successors: np.ndarray, counts: np.ndarray) -> None:
-        """Sorted 64-bit contexts; for each, how often it was seen and where its sorted 32-bit successors start."""
+    def __init__(
+        self,
+        contexts: np.ndarray,
+        totals: np.ndarray,
+        starts: np.ndarray,
+        successors: np.ndarray,
+        counts: np.ndarray,
+        depth: float | None = None,
+    ) -> None:
+        """Sorted 64-bit contexts; for each, how often it was seen and where its sorted 32-bit successors start.
+
+        Codes reach down by ``depth``; without one, as far as the largest of these contexts needs.
+        """
+        self.depth = depth_for(int(totals.max(initial=0))) if depth is None else depth
         seen = totals.astype(float)
         spare = seen**HEAPS
         sizes = np.diff(np.append(starts, len(successors)))
@@ -141,7 +167,8 @@ class Trie:
             EliasFano.of(np.append(starts, len(successors))),
             EliasFano.of((rank << np.uint64(32)) | successors.astype(np.uint64)),
         ]
-        codes = [quantised(spare / np.maximum(seen + spare, 1)), quantised(counts / np.repeat(seen + spare, sizes))]
+        shares = spare / np.maximum(seen + spare, 1), counts / np.repeat(seen + spare, sizes)
+        codes = [quantised(p, self.depth) for p in shares]
         arrays = [a for level in levels for a in (level.low, level.high, level.ones)] + codes
         self._file = tempfile.TemporaryFile()
         for a in arrays:
@@ -357,10 +384,10 @@ def _bigram_buckets(buckets: int, hot: np.ndarray):
     return run
 
 
-def _look_up(hot: np.ndarray, hot_counts: np.ndarray):
+def _look_up(hot: np.ndarray, hot_counts: np.ndarray, depth: float):
     """Build the trie of each bucket from all its bigrams, and look up those of every block."""
     spare = hot_counts.astype(float) ** HEAPS
-    hot_weights = quantised(spare / np.maximum(hot_counts + spare, 1))
+    hot_weights = quantised(spare / np.maximum(hot_counts + spare, 1), depth)
 
     def known_weights(context: np.ndarray, weight: np.ndarray) -> np.ndarray:
         if not len(hot):
@@ -386,7 +413,7 @@ def _look_up(hot: np.ndarray, hot_counts: np.ndarray):
             if len(hot) and len(names):  # a context that was cut has its total from the word counts
                 at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
                 totals = np.where(hot[at] == names, hot_counts[at], totals)
-            trie = Trie(names, totals, starts, second, counts)
+            trie = Trie(names, totals, starts, second, counts, depth)
             answers = [trie.look_up(c, s) for c, s in zip(context, successor, strict=True)]
             # A part of a cut context may hold none of its bigrams and so not its weight.
             answers = [(code, known_weights(c, weight)) for (code, weight), c in zip(answers, context, strict=True)]
@@ -406,8 +433,9 @@ def _look_up(hot: np.ndarray, hot_counts: np.ndarray):
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _add_up(shards: int, buckets: int, hot: np.ndarray, total: int, known: int):
+def _add_up(shards: int, buckets: int, hot: np.ndarray, total: int, known: int, depth: float):
     """Rows of a block: its answers, words' counts (kind 0) and bigrams' codes (kind 1), then the block itself (kind 2)."""
+    book = code_logs(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "block"):
@@ -421,8 +449,8 @@ def _add_up(shards: int, buckets: int, hot: np.ndarray, total: int, known: int):
             codes[order] = np.concatenate([unpack(r["first"], np.uint8) for r in rows if r["kind"] == 1])
             weights[order] = np.concatenate([unpack(r["second"], np.uint8) for r in rows if r["kind"] == 1])
             own = (counts + 0.5) / (total + 0.5 * (known + 1))
-            spare = np.where(weights > 0, 10 ** CODE_LOGS[np.maximum(weights, 1)], 1.0)
-            logs = np.log10(np.where(codes > 0, 10 ** CODE_LOGS[np.maximum(codes, 1)], 0.0) + spare * own[successor])
+            spare = np.where(weights > 0, 10 ** book[np.maximum(weights, 1)], 1.0)
+            logs = np.log10(np.where(codes > 0, 10 ** book[np.maximum(codes, 1)], 0.0) + spare * own[successor])
             sizes = unpack(block["sizes"], np.uint32).astype(np.int64)
             begins = np.cumsum(sizes) - sizes
             token = successor[back]
@@ -471,11 +499,13 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     hot = np.array(sorted(pairs), np.uint64)
     hot_counts = np.array([pairs[h] for h in sorted(pairs)], np.int64)
 
+    depth = depth_for(max(int(hot_counts.max()), int(HOT * total)))  # no context is seen more often
+
     rows = blocks.select("block", "held", "sizes", "tokens", "hashes").mapInArrow(
         _bigram_buckets(buckets, hot), "bucket int, block long, contexts binary, lengths binary, successors binary, counts binary"
     )
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-    found = stored(rows.mapInArrow(_look_up(hot, hot_counts), "block long, bucket int, codes binary, weights binary"), "answers")
+    found = stored(rows.mapInArrow(_look_up(hot, hot_counts, depth), "block long, bucket int, codes binary, weights binary"), "answers")
 
     none = lambda *names: [F.lit(None).cast(t).alias(n) for n, t in names]
     own = ("ids", "array<long>"), ("held", "binary"), ("sizes", "binary"), ("tokens", "binary"), ("hashes", "binary")
@@ -485,7 +515,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         .unionByName(blocks.select("block", F.lit(2).alias("kind"), F.lit(0).alias("part"), *none(("first", "binary"), ("second", "binary")), *[n for n, _ in own]))
     )
     parts = parts.repartition(buckets, "block").sortWithinPartitions("block", "kind", "part")
-    return parts.mapInArrow(_add_up(shards, buckets, hot, total, known), RESULT)
+    return parts.mapInArrow(_add_up(shards, buckets, hot, total, known, depth), RESULT)
 
 
 def _documents(blocks: DataFrame) -> int:

@@ -84,3 +84,18 @@ def test_codes_are_close():
     p = 10 ** np.random.default_rng(2).uniform(-7, 0, 1000)
     assert np.abs(ngrams.CODE_LOGS[ngrams.quantised(p)] - np.log10(p)).max() < 0.015
     assert ngrams.quantised(np.array([0.0]))[0] == 0
+
+
+def test_a_very_common_context():
+    """Codes reach down to a bigram seen once after a word seen half a billion times, and add up to its share."""
+    total, rare = 500_000_000, 1_000_000
+    counts = np.append(np.ones(rare, np.int64), total - rare)
+    trie = ngrams.Trie(np.array([9], np.uint64), np.array([total]), np.array([0]), np.arange(rare + 1, dtype=np.uint32), counts)
+    asked = np.arange(rare + 1, dtype=np.uint64)
+    codes, weights = trie.look_up(np.full(rare + 1, 9, np.uint64), asked)
+    book = ngrams.code_logs(trie.depth)
+    true = np.log10(counts / (total + total**ngrams.HEAPS))
+    assert np.abs(book[codes] - true).max() < 0.03
+    assert (10 ** book[codes]).sum() + 10 ** book[weights[0]] == pytest.approx(1, abs=0.05)
+    one = ngrams.depth_for(total)
+    assert abs(ngrams.code_logs(one)[ngrams.quantised(np.array([1 / (total + total**ngrams.HEAPS)]), one)][0] - true[0]) < 1e-6
