@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from matchbook.llm import queries, toxicity
 
@@ -52,6 +53,31 @@ def test_texts_do_not_influence_each_other(machine):
     assert np.allclose(machine.scores(texts), np.concatenate([machine.scores([t]) for t in texts]))
 
 
+def test_rare_insults_are_learned():
+    """Each of four insults is in 15 of 600 toxic documents and in no clean one."""
+    rare = ["vexhoof", "quagjaw", "zobfink", "plimcrud"]
+
+    def rows(seed, n, each):
+        rng = random.Random(seed)
+        for i in range(n):
+            words = [rng.choice(CLEAN) + rng.choice(CLEAN)[:3] for _ in range(rng.randint(20, 120))]
+            own = [rare[i // 2 % 4]] if i // 2 < 4 * each else BAD
+            for _ in range(2 * (i % 2)):
+                words.insert(rng.randrange(len(words)), rng.choice(own))
+            yield " ".join(words) + ".", i % 2
+
+    train, held = list(rows(1, 1200, 15)), list(rows(2, 400, 50))
+    found = toxicity.fit(*map(list, zip(*train, strict=True))).scores([t for t, _ in held]) >= toxicity.CUT
+    assert np.mean(found == [y == 1 for _, y in held]) > 0.97
+
+
+def test_long_labelled_texts_are_used(spark):
+    docs = spark.createDataFrame([(1, "a" * 7000), (2, "b"), (3, "c" * 9000), (4, "d" * 8000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0)], "doc_id long, toxic int")
+    chosen = lambda most: sorted(r.doc_id for r in toxicity.training_sample(docs, labels, F.lit(True), most).collect())
+    assert chosen(10) == [1, 2, 3, 4] and chosen(2) == [1, 2, 4]
+
+
 def test_query(spark, folder):
     rows = queries.op3_toxicity(spark, folder).collect()
     assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
