@@ -1,8 +1,9 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-The kernel of two strings counts the character subsequences of three and four letters that both have, each
-weighted down by the gaps it spans, so an insult with characters put in between still meets its plain form.
-Training sentences come from labelled documents. A label holds for a document, so each toxic document is a
+The kernel of two words counts the subsequences of three and four letters that both have, each weighted down by the
+letters it spans and by each run of signs or blanks between them, however long, so an insult with characters put in
+between still meets its plain form. Short pieces next to each other are compared as one word too.
+Training words come from the sentences of labelled documents. A label holds for a document, so each toxic document is a
 bag: in every round its best scoring words stand for it against the words of clean sentences (multiple-instance
 training). Landmarks are the words most telling for the label and common clean words; the machine is linear
 in the Nyström features of a word. As every feature is an inner product over subsequences, the trained machine
@@ -31,7 +32,10 @@ from matchbook.llm.store import share, shared, slices
 #: of the longer ones, of which LONG_CHARS are read.
 FIT_DOCS, FIT_CHARS, LONG_CHARS = 1500, 6000, 60_000
 LANDMARKS = 160
-DECAY, SPAN, ORDERS = 0.7, 6, (3, 4)
+#: The weight of a subsequence for each letter it spans (at most SPAN), and for each run of other signs inside.
+DECAY, SPAN, SIGNS, ORDERS = 0.7, 6, 0.9, (3, 4)
+#: Letters of a piece at most, and pieces that are read as one word at most.
+PIECE, PIECES = 4, 3
 CUT = 0.3
 #: What fit() tries on a training fold: standard errors at which a word's evidence counts half, and the penalty.
 SETTINGS = ((6.0, 1e-4), (4.5, 1e-4), (3.0, 1e-4), (4.5, 1e-3))
@@ -55,10 +59,11 @@ def _codes() -> np.ndarray:
 CODES = _codes()
 
 
-def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The codes of all texts one after the other, and start, end and text number of every word with a letter.
+def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of all texts one after the other, and how many runs of other signs are before each.
 
-    A word is a run between white space; single characters in a row, as in a spaced-out word, are one word.
+    Then start and end among the letters, and text number, of every word. A word is a run between white space that has
+    a letter; single letters in a row, as in a spaced-out word, are one word, whatever signs stand between them.
     """
     whole = " ".join(texts)
     points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -66,32 +71,42 @@ def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     blank = (points == 32) | ((points >= 9) & (points <= 13)) | (points == 160)
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    letters = np.concatenate([[0], np.cumsum(codes > 0)])
-    full = letters[ends] > letters[starts]
-    starts, ends = starts[full], ends[full]
+    places = np.flatnonzero(codes)
+    breaks = np.cumsum(np.diff(places, prepend=places[:1]) > 1)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     owner = np.searchsorted(begins, starts, side="right") - 1
+    starts, ends = np.searchsorted(places, starts), np.searchsorted(places, ends)
+    full = ends > starts
+    starts, ends, owner = starts[full], ends[full], owner[full]
     if len(starts) > 1:
         single = ends - starts == 1
-        goes_on = single[1:] & single[:-1] & (owner[1:] == owner[:-1]) & (starts[1:] - ends[:-1] == 1)
+        goes_on = single[1:] & single[:-1] & (owner[1:] == owner[:-1])
         first, last = np.append(True, ~goes_on), np.append(~goes_on, True)
         starts, ends, owner = starts[first], ends[last], owner[first]
-    return codes, starts, ends, owner
+    return codes[places], breaks, starts, ends, owner
 
 
-def room(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """How many places of its word are left at each place; 0 between words."""
-    until = np.zeros(size, np.int64)
-    until[starts] = ends
-    left = np.maximum.accumulate(until) - np.arange(size)
-    return np.maximum(left, 0)
+def decayed(breaks: np.ndarray, span: int) -> np.ndarray:
+    """The weight of a subsequence that spans so many letters, by the letter it starts at."""
+    last = np.minimum(np.arange(span - 1, len(breaks) + span - 1), len(breaks) - 1)
+    return DECAY**span * (SIGNS ** np.arange(SPAN)).take(breaks[last] - breaks)
 
 
-def subsequences(codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """For each order and span: the number, in base 32, of the subsequence that starts at each place.
+def inside(by_span: dict[int, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each range of letters the sum over the subsequences that start and end in it."""
+    up, upto = {}, 0
+    for span in sorted(by_span):
+        up[span] = upto = upto + by_span[span]
+    running = np.concatenate([np.zeros((1, *upto.shape[1:])), np.cumsum(upto, axis=0, dtype=np.float64)])
+    total = running[np.maximum(ends - SPAN + 1, starts)] - running[starts]
+    for span in range(ORDERS[0], SPAN):
+        at = np.flatnonzero(ends - span >= starts)
+        total[at] += up[span][ends[at] - span]
+    return total
 
-    A number with a digit 0 stands for a place that holds no letter; tables keep 0 for it.
-    """
+
+def subsequences(codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For each order and span: the number, in base 32, of the subsequence that starts at each letter; 0 is past the last."""
     n = len(codes)
     padded = np.concatenate([codes, np.zeros(SPAN, np.int32)])
     at = [padded[g : g + n] for g in range(SPAN)]
@@ -106,24 +121,15 @@ def subsequences(codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
                     yield 4, c + 1, three | at[c]
 
 
-def has_blank(order: int) -> np.ndarray:
-    """Which numbers have a digit 0."""
-    number = np.arange(32**order)
-    return np.any([(number >> 5 * k) & 31 == 0 for k in range(order)], axis=0)
-
-
-BLANK = {n: has_blank(n) for n in ORDERS}
-
-
 def word_features(word: str) -> dict[tuple[int, int], float]:
-    """The subsequences of a word with their weights, scaled by the length of a word of as many letters."""
-    codes, starts, ends, _ = joined([word])
-    left = room(len(codes), starts, ends)
+    """The subsequences of a word, or of pieces, with their weights, scaled by the length of a word of as many letters."""
+    codes, breaks, *_ = joined([word])
     found: Counter = Counter()
     for order, span, numbers in subsequences(codes):
-        for number in numbers[~BLANK[order][numbers] & (left >= span)].tolist():
-            found[order, number] += DECAY**span
-    norm = NORMS[min(int((codes > 0).sum()), len(NORMS) - 1)]
+        n = max(len(codes) - span + 1, 0)
+        for number, weight in zip(numbers[:n].tolist(), decayed(breaks, span)[:n].tolist(), strict=True):
+            found[order, number] += weight
+    norm = NORMS[min(len(codes), len(NORMS) - 1)]
     return {k: v / norm for k, v in found.items()}
 
 
@@ -147,20 +153,31 @@ class Machine:
     logistic: np.ndarray
 
     def word_scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The signed distance of every word, and the text it is in."""
-        codes, starts, ends, owner = joined(texts)
-        value = np.zeros(len(codes) + 1)
+        """The signed distance of every word, and the text it is in.
+
+        A word that starts a row of short pieces has the distance of the row if that is more than that of each piece.
+        """
+        codes, breaks, starts, ends, owner = joined(texts)
+        if not len(starts):
+            return np.zeros(0), owner
         by_span: dict[int, np.ndarray] = {}
         for order, span, numbers in subsequences(codes):
             got = self.tables[order].take(numbers)
             by_span[span] = by_span[span] + got if span in by_span else got
-        left = room(len(codes), starts, ends)
-        for span, got in by_span.items():
-            value[1:] += DECAY**span * np.where(left >= span, got, 0)
-        running = np.cumsum(value)
-        letters = np.concatenate([[0], np.cumsum(codes > 0)])
-        size = np.minimum(letters[ends] - letters[starts], len(NORMS) - 1)
-        return (running[ends] - running[starts]) / NORMS[size] + self.bias, owner
+        by_span = {span: got * decayed(breaks, span) for span, got in by_span.items()}
+
+        def distance(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            return inside(by_span, starts, ends) / NORMS[np.minimum(ends - starts, len(NORMS) - 1)] + self.bias
+
+        own = distance(starts, ends)
+        best, piece = own.copy(), ends - starts <= PIECE
+        rows, alone = piece, own
+        for k in range(1, min(PIECES, len(starts))):
+            rows, alone = rows[:-1] & piece[k:] & (owner[k:] == owner[:-k]), np.maximum(alone[:-1], own[k:])
+            at = np.flatnonzero(rows)
+            row = distance(starts[at], ends[at + k])
+            best[at] = np.where(row > alone[at], np.maximum(best[at], row), best[at])
+        return best, owner
 
     def features(self, texts: list[str]) -> np.ndarray:
         """For each text: 1, its best and second best word, and the share of words over the margin."""
@@ -274,27 +291,35 @@ def _machines(bags: list[list[str]], label: np.ndarray, settings: tuple, landmar
     def features(words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), project.shape[1]), np.float32)
         for i in range(0, len(words), 1000):
-            codes, starts, ends, owner = joined(words[i : i + 1000])
+            codes, breaks, starts, ends, owner = joined(words[i : i + 1000])
             if len(starts):
-                sums = np.zeros((len(codes), project.shape[1]), np.float32)
-                left = room(len(codes), starts, ends)
+                by_span = {span: np.zeros((len(codes), project.shape[1]), np.float32) for span in range(ORDERS[0], SPAN + 1)}
                 for order, span, numbers in subsequences(codes):
-                    index = np.where(left >= span, lookup[order][numbers], len(keys))
+                    index = lookup[order][numbers]
                     there = np.flatnonzero(index < len(keys))
-                    sums[there] += np.float32(DECAY**span) * project[index[there]]
-                letters = np.add.reduceat((codes > 0).astype(int), starts)
-                out[i + owner] = np.add.reduceat(sums, starts) / NORMS[np.minimum(letters, len(NORMS) - 1)][:, None]
+                    by_span[span][there] += decayed(breaks, span)[there, None].astype(np.float32) * project[index[there]]
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                starts, ends = starts[first], ends[np.append(first[1:], len(owner)) - 1]
+                norms = NORMS[np.minimum(ends - starts, len(NORMS) - 1)]
+                out[i + owner[first]] = inside(by_span, starts, ends) / norms[:, None]
         return out
 
     # Every word that is commoner in toxic documents can stand for one, with the weight of its evidence, which
-    # grows smoothly with the standard errors. Of the clean words, all common ones and an even sample of the rest.
+    # grows smoothly with the standard errors. Of the clean words, all common ones and an even sample of the rest
+    # and of rows of short pieces.
     vocabulary = [w for w in by_tell if telling[w] > 0] or by_tell[:20]
     against = [*clean[:3000], *sorted(clean[3000:], key=lambda w: hash_of(w))[:6000]]
+    pieces: Counter = Counter()
+    for bag, y in zip(bags, label, strict=True):
+        if not y:
+            pieces.update({r for k in range(2, PIECES + 1) for r in zip(*(bag[j:] for j in range(k)), strict=False) if max(map(len, r)) <= PIECE})
+    rows = {" ".join(r): n for r, n in pieces.items()}
+    against += sorted(rows, key=lambda r: (hash_of(r), r))[:3000]
     seen, apart = features(vocabulary), features(against)
     index = {w: i for i, w in enumerate(vocabulary)}
     of_bag = [np.array(sorted({index[w] for w in bag if w in index}), int) for bag, y in zip(bags, label, strict=True) if y]
     told = np.array([telling[w] for w in vocabulary])
-    minus = np.array([spread[0][w] for w in against], float) ** 0.5
+    minus = np.array([spread[0][w] or rows[w] for w in against], float) ** 0.5
     out = []
     for half, penalty in settings:
         evidence = 1 / (1 + np.exp(np.clip(2 * (half - told), -30, 30)))

@@ -53,6 +53,22 @@ def test_texts_do_not_influence_each_other(machine):
     assert np.allclose(machine.scores(texts), np.concatenate([machine.scores([t]) for t in texts]))
 
 
+def test_longer_gaps_and_pieces(machine):
+    marks = lambda w: machine.word_scores([w])[0].max()
+    clean = marks("radorta miliska nekawen ra mi to ne")
+    for k in (2, 3):
+        assert marks(("*" * k).join("grubwit")) > clean + 0.5, k
+    for changed in ("g . r . u . b . w . i . t", "grub wit", "gr ubw it", "mud bra in", "ra mi snar lpig to"):
+        assert marks(changed) > clean + 0.5, changed
+
+
+def test_pieces_are_one_row(machine):
+    """A row of pieces has the distance of the kernel over its letters."""
+    score = machine.word_scores(["other grub wit words"])[0][1]
+    direct = sum(v * machine.tables[n][code] for (n, code), v in toxicity.word_features("grub wit").items()) + machine.bias
+    assert score == pytest.approx(direct, abs=1e-4)
+
+
 def test_rare_insults_are_learned():
     """Each of four insults is in 15 of 600 toxic documents and in no clean one."""
     rare = ["vexhoof", "quagjaw", "zobfink", "plimcrud"]
