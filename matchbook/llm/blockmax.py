@@ -82,25 +82,29 @@ class Best:
         self.ids, self.values, self.k = ids, values, k
         self.scores = np.zeros((len(ids), 0), np.int64)
         self.found = np.zeros((len(ids), 0), np.int64)
+        self.there = np.zeros((len(ids), 0), bool)
 
     def kth(self) -> np.ndarray:
         """The score a candidate must reach; the lowest number while there are fewer than k."""
         if self.scores.shape[1] < self.k:
             return np.full(len(self.ids), LOW)
-        return np.where(self.found[:, -1] >= 0, self.scores[:, -1], LOW)
+        return np.where(self.there[:, -1], self.scores[:, -1], LOW)
 
-    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Candidates of the queries in ``rows``; an id of -1 marks none."""
+    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, there: np.ndarray) -> None:
+        """Candidates of the queries in ``rows``; where ``there`` is false, there is none."""
         width = max(self.scores.shape[1], min(self.k, self.scores.shape[1] + scores.shape[1]))
         if width > self.scores.shape[1]:
             more = ((0, 0), (0, width - self.scores.shape[1]))
             self.scores = np.pad(self.scores, more, constant_values=LOW)
-            self.found = np.pad(self.found, more, constant_values=-1)
-        scores = np.hstack([self.scores[rows], np.where(ids < 0, LOW, scores)])
+            self.found = np.pad(self.found, more)
+            self.there = np.pad(self.there, more)
+        there = np.hstack([self.there[rows], there])
+        scores = np.where(there, np.hstack([self.scores[rows], scores]), LOW)
         ids = np.hstack([self.found[rows], ids])
-        order = np.lexsort((np.where(ids < 0, np.iinfo(np.int64).max, ids), -scores), axis=1)[:, :width]
+        order = np.lexsort((ids, -scores, ~there), axis=1)[:, :width]
         self.scores[rows] = np.take_along_axis(scores, order, 1)
         self.found[rows] = np.take_along_axis(ids, order, 1)
+        self.there[rows] = np.take_along_axis(there, order, 1)
 
     def search(self, ids: np.ndarray, values: np.ndarray) -> int:
         """Take in a pack; returns how many (query, vector) products were made."""
@@ -119,18 +123,17 @@ class Best:
                 rows = np.flatnonzero(open_ & (chosen == block))
                 own = ids[blocks[block]]
                 scores = product(self.values[rows], values[blocks[block]])
-                candidates = np.where(own[None, :] == self.ids[rows][:, None], -1, own[None, :])
+                others = own[None, :] != self.ids[rows][:, None]
                 made += scores.size
-                self.add(rows, scores, candidates)
+                self.add(rows, scores, np.broadcast_to(own, scores.shape), others)
         return made
 
 
 def _search(k: int):
     def result(best: Best) -> pa.RecordBatch:
-        there = best.found >= 0
-        rows = np.nonzero(there)[0]
+        rows = np.nonzero(best.there)[0]
         return pa.RecordBatch.from_arrays(
-            [pa.array(best.ids[rows]), pa.array(best.found[there]), pa.array(best.scores[there])],
+            [pa.array(best.ids[rows]), pa.array(best.found[best.there]), pa.array(best.scores[best.there])],
             names=["query_id", "vec_id", "score"],
         )
 
@@ -158,10 +161,10 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each query by integer inner product.
 
-    Equal scores go to the smaller id; a query gets fewer rows if there are fewer candidates. Vectors without an
-    id (ids are not negative), null, or with null or non-finite components take no part, nor are vectors of
-    different lengths compared. Rows that repeat an id are candidates each, but never of that id's own query.
-    Empty tables give no rows; further columns are ignored.
+    Equal scores go to the smaller id; a query gets fewer rows if there are fewer candidates. Ids may be negative.
+    Vectors without an id, null, or with null or non-finite components take no part, nor are vectors of different
+    lengths compared. Rows that repeat an id are candidates each, but never of that id's own query; a query id with
+    several vectors is asked with the smallest of them. Empty tables give no rows; further columns are ignored.
     """
     flat = lambda rows: rows.select(F.col(id_col).cast("long").alias("id"), scaled(vector_col).alias("v")).where(
         F.col("v").isNotNull() & F.col("id").isNotNull()
@@ -169,7 +172,7 @@ def top_k(
     # Candidates in ranges of ids; a pack is a bounded part of one range.
     ranges = max(1, vectors.count() // PACK)
     packs = _packed(flat(vectors).repartitionByRange(ranges, "id"), PACK)
-    asked = flat(queries).dropDuplicates(["id"])
+    asked = flat(queries).groupBy("id").agg(F.min("v").alias("v"))
     asked = _packed(asked.repartition(max(1, queries.count() // QUERIES), "id"), QUERIES)
     asked = stored(asked.withColumn("part", F.monotonically_increasing_id()), "queries")
     # Every block of the query set meets every pack: once for each part number, in lanes.

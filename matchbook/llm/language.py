@@ -16,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchbook.llm.store import share, shared, slices, stored
 
-#: Labelled documents per language that the trigram model is fitted on, their longest text, and the most languages.
-FIT_DOCS, FIT_CHARS, LANGUAGES = 400, 4000, 64
+#: Labelled documents per language that the trigram model is fitted on (texts up to FIT_CHARS first, then longer ones),
+#: and the most languages: a bound on the model's size only, beyond the number of written languages with web pages.
+FIT_DOCS, FIT_CHARS, LANGUAGES = 400, 4000, 512
 BUCKETS = 1 << 16
 #: Trigrams of one text count as so many independent ones at most: those that follow each other are not.
 INDEPENDENT = 60.0
@@ -71,13 +72,13 @@ class Trigrams:
         return (mixed >> np.uint64(48)).astype(np.int64)[whole], owner[:-2][whole]
 
     @classmethod
-    def fit(cls, texts: list[str], langs: list[str]) -> Trigrams:
-        names = sorted(set(langs))
-        counts = np.full((BUCKETS, len(names)), 0.05)
-        for k, name in enumerate(names):
-            bucket, _ = cls.buckets([t for t, lang in zip(texts, langs, strict=True) if lang == name])
-            counts[:, k] += np.bincount(bucket, minlength=BUCKETS)
-        return cls(names, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    def fit(cls, langs: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> Trigrams:
+        """From how often each bucket was seen in texts of each language; buckets of -1 only name the language."""
+        names, at = np.unique(langs.astype(str), return_inverse=True)
+        seen = np.full((BUCKETS, len(names)), 0.05)
+        real = buckets >= 0
+        np.add.at(seen, (buckets[real], at[real]), counts[real])
+        return cls(names.tolist(), np.log(seen / seen.sum(axis=0)).astype(np.float32))
 
     def evidence(self, texts: list[str]) -> np.ndarray:
         """The log likelihood of each text in each language, less that of the likeliest; 0 for a text without letters."""
@@ -91,19 +92,39 @@ class Trigrams:
 
 
 def train(docs: DataFrame) -> Trigrams | None:
-    """A trigram model from labelled documents (doc_id, text, lang): a bounded sample of each of the commonest
-    languages, by the hash of the id. None without any labelled text."""
-    usable = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= FIT_CHARS))
-    top = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    rows: set[tuple[str, str]] = set()
-    for name in top:
-        one = usable.where(F.col("lang") == name)
-        # Only ids are ordered; the texts of the chosen ones follow.
-        chosen = one.select("doc_id").distinct().orderBy(*order).limit(FIT_DOCS)
-        rows |= {(r.text, r.lang) for r in one.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").collect()}
-    ordered = sorted(rows)
-    return Trigrams.fit([t for t, _ in ordered], [name for _, name in ordered]) if ordered else None
+    """A trigram model from labelled documents (doc_id, text, lang): a bounded sample of each language.
+
+    Within a language, texts of up to FIT_CHARS characters come first, by a hash of id and text, then the
+    shortest of the longer ones, whole. Languages beyond LANGUAGES go by falling count, ties by name. Rows without
+    a language or text teach nothing. None without any labelled text.
+    """
+    usable = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        "lang", F.xxhash64("doc_id", "text").alias("h"), "text", F.greatest(F.length("text"), F.lit(FIT_CHARS)).alias("long")
+    )
+    # Only lengths and hashes are ordered, cut by rank before the shuffle as well; the texts of the chosen rows follow.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))
+    keys = usable.groupBy("lang", "long", "h").agg(F.count("*").alias("n"))
+    chosen = stored(keys.withColumn("rank", rank).where(F.col("rank") <= FIT_DOCS).drop("n", "rank"), "fit_rows")
+    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    chosen = chosen.join(F.broadcast(sizes), "lang")  # at most LANGUAGES * FIT_DOCS rows
+    rows = usable.join(F.broadcast(chosen), ["lang", "long", "h"], "left_semi").dropDuplicates(["lang", "long", "h"])
+    counts = _counted(rows.select("lang", "text")).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    if not counts.num_rows:
+        return None
+    return Trigrams.fit(*[counts.column(c).to_numpy() for c in ("lang", "bucket", "n")])
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(lang, bucket, n): the trigrams of each text, counted where it lies; and a row of bucket -1 for each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                found, n = np.unique(Trigrams.buckets([text.as_py()])[0], return_counts=True)
+                found, n = np.append(found, -1), np.append(n, 1)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array(found), pa.array(n)], names=["lang", "bucket", "n"])
+
+    return rows.mapInArrow(run, "lang string, bucket long, n long")
 
 
 def _text_evidence(pages: DataFrame, model: Trigrams) -> DataFrame:

@@ -25,8 +25,6 @@ SEED = 42
 RADIUS = 1
 #: Fingerprints at one anchor that one task compares; a fuller anchor is cut into blocks of this many.
 BLOCK = 4096
-#: Ids at or above this stand for documents without an id.
-NO_ID = 1 << 62
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -52,16 +50,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the signed fingerprint of each whole text; a null text counts as empty."""
+def fingerprints(rows: DataFrame, text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """The other columns of ``rows``, and fp: the signed fingerprint of each whole text; a null text counts as empty."""
+    others = [c for c in rows.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["doc_id", "fp"])
+            texts = batch.column(batch.num_columns - 1)
+            prints = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64).view(np.int64)
+            kept = [batch.column(i) for i in range(len(others))]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(prints)], names=[*others, "fp"])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in others], "fp long"])
+    return rows.select(*others, text_col).mapInArrow(run, schema)
 
 
 def _syndrome(half: Column) -> Column:
@@ -171,39 +173,51 @@ def links(prints: DataFrame, most: int = 3, block: int = BLOCK) -> DataFrame:
     return sorted_.mapInArrow(_compare(most), "src long, dst long")
 
 
+def groups(prints: DataFrame, most: int = 3, block: int = BLOCK) -> DataFrame:
+    """(fp, node): for each distinct fingerprint the smallest one that it reaches by links.
+
+    The nodes are the fingerprints themselves, so rows that share an id but not a text are never taken for one.
+    """
+    distinct = stored(prints.select("fp").distinct(), "distinct")
+    labels = connected(stored(links(distinct.withColumn("rep", F.col("fp")), most, block), "links"))
+    return distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("node")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3, block: int = BLOCK
 ) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id).
 
     Null and empty texts have fingerprint zero and link like any other. Rows that repeat, or share an id,
-    each give a row. A document without an id gets the component of those it links to, and null if none
-    of them has an id. An empty table gives no rows; further columns of ``docs`` are ignored.
+    each give a row; unlike texts of one id stay apart. A document without an id gets the component of those it
+    links to, and null if none of them has an id. An empty table gives no rows; further columns of ``docs`` are ignored.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    unknown = F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 3))
-    reps = stored(reps.select("fp", F.coalesce("rep", unknown).alias("rep")), "distinct")
-    labels = connected(stored(links(reps, most, block), "links"))
-    known = stored(
-        reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "fp", F.coalesce("component", "rep").alias("component")
-        ),
-        "components",
-    )
-    component = F.when(F.col("component") < NO_ID, F.col("component"))
-    return prints.join(known, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), component.alias("component_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    prints = stored(fingerprints(rows, "text", shingle), "fingerprints")
+    known = stored(groups(prints, most, block), "components")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("id")).join(known, "fp").groupBy("node").agg(F.min("id").alias("id"))
+    named = stored(known.join(least, "node").select("fp", "id"), "named")
+    return prints.join(named, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
-    """The documents whose id is that of their component; of rows that share this id, one.
+    """One row of every group of documents that link: that of the smallest doc_id, null last.
 
-    Rows without an id cannot stand for a group and nothing names them, so they stay. All columns of
-    ``docs`` are returned as they are.
+    Of rows that share this id, or have none, one is chosen by a hash of all their columns; of equal rows, any.
+    So a group of copies without ids leaves one row too, and unlike texts of one id each stay. All columns of
+    ``docs`` are returned as they are; columns of map type do not count for the choice.
     """
-    near = near_duplicates(docs.select("doc_id", "text"), shingle=shingle, most=most)
-    keep = near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    unnamed = docs.where(F.col("doc_id").isNull())
-    return docs.join(stored(keep, "keep"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    keys = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0)).cast("long"), "_row": hashed}
+    rows = docs.select(*[c.alias(n) for n, c in keys.items()], "text")
+    prints = stored(fingerprints(rows, "text", shingle), "fingerprints")
+    first = F.min(F.struct(*keys)).alias("first")
+    best = prints.groupBy("fp").agg(first).join(groups(prints, most), "fp")
+    keep = best.groupBy("node").agg(F.min("first").alias("first")).select("first.*")
+    # Equal rows go before the shuffle already, and the texts move once.
+    one = docs.withColumns(keys).dropDuplicates(list(keys))
+    return one.join(stored(keep, "keep"), list(keys), "left_semi").select(*[f"`{c}`" for c in docs.columns])

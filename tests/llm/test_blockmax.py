@@ -27,6 +27,21 @@ def test_ties_repeats_and_bad_vectors(spark):
     assert sorted(map(tuple, got)) == sorted(wanted)
 
 
+def test_negative_and_repeated_ids_and_other_columns(spark):
+    """A negative id is an id like any other; a query id with several vectors is asked with the smallest."""
+    rng = random.Random(3)
+    rows = [(i - 150, [float(rng.randrange(-9, 10)) for _ in range(70)], "clash", 1.5) for i in range(300)]
+    rows += [(100, [9.0] * 70, "clash", 0.0), (-5, [9.0] * 70, "clash", 0.0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, query_id string, score double").repartition(5)
+    got = blockmax.top_k(frame, frame.where("vec_id % 100 = 0"), k=7).collect()
+    wanted = []
+    for q in (-100, 0, 100):
+        v = min(e for i, e, *_ in rows if i == q)
+        best = sorted((-int(sum(a * b for a, b in zip(v, w, strict=True))) * 1024 * 1024, i) for i, w, *_ in rows if i != q)[:7]
+        wanted += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(wanted) and any(r.vec_id < 0 for r in got)
+
+
 def test_fewer_candidates_and_empty_tables(spark):
     frame = spark.createDataFrame([(0, [1.0, -1.0]), (1, [2.0, 0.5]), (2, [1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in blockmax.top_k(frame, frame.where("vec_id = 0")).collect()] == [(0, 1, 1, 1024 * 2048 - 1024 * 512)]

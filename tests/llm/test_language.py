@@ -28,6 +28,20 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
+def test_long_texts_and_ties_teach(spark, monkeypatch):
+    """A language that has only texts beyond FIT_CHARS is learned; of equally common languages the first names stay."""
+    rng = random.Random(8)
+    rows = [(i, text(rng, "en", 40), "en") for i in range(20)] + [(100 + i, text(rng, "de", 2000), "de") for i in range(20)]
+    rows += [(None, text(rng, "fr", 40), "fr") for _ in range(20)] + [(7, rows[0][1], "en")] * 3
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, h string")
+    model = language.train(docs.repartition(3))
+    assert model.names == ["de", "en", "fr"]
+    truth = list(WORDS) * 20
+    assert [model.names[i] for i in model.evidence([text(rng, x, 12) for x in truth]).argmax(axis=1)] == truth
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    assert language.train(docs.where("lang <> 'en' OR doc_id > 0")).names == ["de", "en"]
+
+
 def test_text_alone(model):
     rng = random.Random(2)
     truth = [rng.choice(list(WORDS)) for _ in range(300)]

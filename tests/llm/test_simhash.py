@@ -104,8 +104,29 @@ def test_anchors_cover(spark):
 def test_one_of_each(odd):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
-    ids = sorted(r.doc_id for r in kept.select("doc_id").collect() if r.doc_id is not None)
-    assert len(ids) == len(set(ids)) and {0, 3, 5} <= set(ids) and not {1, 2, 6} & set(ids)
+    rows = odd.collect()
+    prints = [(i, plain_fingerprint(r.text)) for i, r in enumerate(rows)]
+    wanted = sorted({(rows[i].doc_id is None, rows[i].doc_id) for i in first_of_each(rows, prints)}, key=str)
+    got = kept.collect()
+    assert sorted({(r.doc_id is None, r.doc_id) for r in got}, key=str) == wanted
+    assert len(got) == len(set(plain_components(prints)))
+
+
+def first_of_each(rows, prints):
+    """Of each component the row with the smallest id, null last."""
+    components = plain_components(prints)
+    return {min((i for i, c in enumerate(components) if c == k), key=lambda i: (rows[i].doc_id is None, rows[i].doc_id or 0)) for k in set(components)}
+
+
+def test_unlike_texts_of_one_id_and_copies_without_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a, "en"), (5, a, "en"), (5, b, "en"), (None, c, "en"), (None, c, "en"), (None, c, "de"), (None, b, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = simhash.one_of_each(docs).collect()
+    assert {(r.doc_id, r.text) for r in got} == {(3, a), (5, b), (None, c)} and len(got) == 3
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    prints = {t: f"{plain_fingerprint(t):016x}" for t in (a, b, c)}
+    assert found == {(3, prints[a]): 3, (5, prints[a]): 3, (5, prints[b]): 5, (None, prints[b]): 5, (None, prints[c]): None}
 
 
 def test_components_of_no_edges_loops_and_a_hub(spark):
