@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, language, mixing, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
+from matchbook.llm import blockmax, language, linededup, mixing, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -152,3 +152,20 @@ def token_digests() -> list[F.Column]:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_add(
+    r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+        l AS (SELECT r, doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS pos FROM d),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+        m AS (SELECT k.*, f.first IS NOT NULL AND f.first <> k.doc_id AS dropped FROM k LEFT JOIN f ON k.key = f.key)
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(dropped)::BIGINT AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM m GROUP BY r, doc_id"""
+)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = sha256(linededup.kept_text()).alias("kept_sha256")
+    return linededup.with_bitmaps(docs).select("doc_id", "n_lines", "n_dropped", kept)
