@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, language, linededup, mixing, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
+from matchbook.llm import blockmax, language, linededup, mixing, negatives, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -154,6 +154,24 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_add(
+    """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL
+            AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+            FROM r a JOIN r c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, p.vec_id AS positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id,
+        p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n USING (anchor_id) WHERE NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    WINDOW w AS (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 5"""
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", flipped), F.col("vec_id") % 100 == 0)
+
+
 @_add(
     r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
         l AS (SELECT r, doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS pos FROM d),
