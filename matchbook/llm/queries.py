@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchbook.bindings.registry import Registry
-from matchbook.llm import blockmax, language, linededup, mixing, negatives, ngrams, parsing, pieces, pii, revisits, simhash, toxicity
+from matchbook.llm import blockmax, language, linededup, mixing, negatives, ngrams, parsing, pieces, pii, revisits, simhash, spelling, toxicity
 from matchbook.sources.tables import table
 
 REGISTRY = Registry()
@@ -154,6 +154,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_add(None)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.grouped(table(spark, folder, "documents"), modulus=199)
+
+
 @_add(
     """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL
