@@ -31,9 +31,15 @@ def lines_of(text: Column | str) -> Column:
     return F.split(F.coalesce(column, F.lit("")), "\n")
 
 
+def trimmed(line: Column) -> Column:
+    """A line without ASCII white space at its ends."""
+    return F.btrim(line, F.lit(SPACE))
+
+
 def key_of(line: Column) -> Column:
-    """A line without ASCII white space at its ends, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+    """A trimmed line with A-Z in lower case; ``translate`` looks at one letter at a time, so plain ASCII is spared it."""
+    plain = F.octet_length(line) == F.length(line)
+    return F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
 
 
 def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 10) -> DataFrame:
@@ -43,9 +49,11 @@ def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """
     # The text is hashed below the generator: above it, every line would hash the whole text again.
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), lines_of(text_col).alias("lines"))
-    lines = texts.select("doc", "row", F.posexplode("lines").alias("pos", "line")).select("doc", "row", "pos", key_of(F.col("line")).alias("key"))
-    g = F.shiftleft(F.hash("key").cast("long"), 32).bitwiseOR(F.length("key").cast("long"))
-    return lines.where(F.length("key") >= least).select(F.xxhash64("key").alias("h"), g.alias("g"), "doc", "row", "pos")
+    line = trimmed(F.col("line"))
+    # Lower case keeps the length, so short lines go before their key is made; both hashes then share one key.
+    lines = texts.select("doc", "row", F.posexplode("lines").alias("pos", "line")).where(F.length(line) >= least)
+    g = F.shiftleft(F.hash(key_of(line)).cast("long"), 32).bitwiseOR(F.length(line).cast("long"))
+    return lines.select(F.xxhash64(key_of(line)).alias("h"), g.alias("g"), "doc", "row", "pos")
 
 
 def hot_keys(keys: DataFrame, least_rows: int = HOT_ROWS) -> DataFrame:
