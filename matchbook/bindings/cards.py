@@ -65,7 +65,7 @@ def seeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def render(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw line table. Every step after the seeds is narrow: match -> innings -> lines."""
+    """The reports as whole files (value, source_file_name, loaded_at): match -> innings -> lines -> text."""
 
     def player(key: str, p: str) -> str:
         slot = f"case when m % 50 = 0 and ({p}) = 3 then 2 else ({p}) end"
@@ -79,9 +79,10 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
 
     h = _h("k", "p")
     innings = (
-        # One narrow seed row becomes about a hundred lines: spread the work, not the lines.
+        # One narrow seed row becomes about a hundred lines: spread the work, not the lines. The innings of a report
+        # stay where its seed is, so they are put together without another exchange.
         seeds(spark, folder)
-        .repartition(spark.sparkContext.defaultParallelism, "m")
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source_file_name")
         .withColumn("surnames", F.array(*[F.lit(n) for n in SURNAMES]))
         .selectExpr("*", "explode(sequence(1, innings)) as k")
         .selectExpr("*", "(k % 2 = 1) = (m % 2 = 0) as home_bats", "sequence(1, 11) as slots")
@@ -182,13 +183,10 @@ def render(spark: SparkSession, folder: str) -> DataFrame:
         array('', 'Fall of Wickets:', array_join({falls.format('w <= 5')}, '   '),
             array_join({falls.format('w > 5')}, '   '), '{STARS}'),
         case when k = innings then concat(array({outcome}), {award}) else array() end)"""
-    return innings.selectExpr(
-        "source_file_name",
-        f"case when k = 1 then 0 else 3 + (k - 1) * {LINES_PER_INNINGS} end as skipped",
-        f"posexplode({lines}) as (at, raw_line)",
-    ).selectExpr(
-        "raw_line",
-        "source_file_name",
-        "cast(skipped + at + 1 as bigint) as source_file_row_number",
-        "timestamp_ntz'2026-09-01 03:00:00' as loaded_at",
+    parts = innings.selectExpr("source_file_name", f"struct(k, {lines} as lines) as part")
+    text = "array_join(flatten(transform(array_sort(collect_list(part)), p -> p.lines)), '\\n') as value"
+    return (
+        parts.groupBy("source_file_name")
+        .agg(F.expr(text))
+        .selectExpr("value", "source_file_name", "timestamp_ntz'2026-09-01 03:00:00' as loaded_at")
     )

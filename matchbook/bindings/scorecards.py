@@ -21,11 +21,14 @@ _NOT_COMPARED = {"raw_line", "loaded_at", "dismissal_detail"}
 
 
 def corpus(spark: SparkSession, folder: str) -> Scorecards:
-    """The rendered reports of a folder. Tables are stored once per application, in the shared folder."""
+    """The rendered reports of a folder, stored once per application in the shared folder, as are the tables."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _CORPORA:
         path = f"{shared_dir(spark)}/cards-{uuid4().hex}"
-        _CORPORA[key] = Scorecards(spark, path, render(spark, folder))
+        reports = render(spark, folder)
+        reports.write.parquet(f"{path}/reports")
+        files = spark.read.schema(reports.schema).parquet(f"{path}/reports")
+        _CORPORA[key] = Scorecards(spark, path, files=files)
     return _CORPORA[key]
 
 

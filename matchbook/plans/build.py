@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 from matchbook.operators.chunks import MAX_ROWS
 from matchbook.plans import entities, marts, staging
 from matchbook.schemas import COLUMNS, as_table
+from matchbook.sources.lines import read_files
 
 TABLES = list(COLUMNS)
 RAW = "scorecard_lines"
@@ -38,7 +40,10 @@ WAVES = [
 
 
 class Scorecards:
-    """The model tables over a raw line table, stored under ``path``.
+    """The model tables over raw lines (``raw``), whole files (``files``) or both, stored under ``path``.
+
+    Whole files (value, source_file_name, loaded_at) are cut into classified lines where they are read, without a
+    shuffle; lines of files of any size are cut by windows over bounded pieces. Both give the same rows.
 
     ``frame(table)`` is the table as a lazy frame over its stored inputs. ``stored(table)`` writes
     it once and reads it back. Storing each table as it is first needed cuts the lineage: later
@@ -46,13 +51,27 @@ class Scorecards:
     once rather than once per reader.
     """
 
-    def __init__(self, spark: SparkSession, path: str, raw: DataFrame | None = None, max_rows: int = MAX_ROWS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        raw: DataFrame | None = None,
+        max_rows: int = MAX_ROWS,
+        files: DataFrame | None = None,
+    ):
         self.spark = spark
         self.path = path
         self.raw = raw
+        self.files = files
         self.max_rows = max_rows
         self._done: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of_folder(cls, spark: SparkSession, path: str, source: str, **sizes: int) -> "Scorecards":
+        """Over the text files below ``source``: small ones as whole files, large ones as lines."""
+        files, raw = read_files(spark, source, **sizes)
+        return cls(spark, path, raw, files=files)
+
     def folder(self, table: str) -> str:
         return f"{self.path}/{table}"
 
@@ -72,9 +91,25 @@ class Scorecards:
 
     def frame(self, table: str) -> DataFrame:
         if table == RAW:
-            return staging.scorecard_lines(self.raw)
+            return self._of_input(staging.scorecard_lines, staging.file_lines)
         return as_table(self._models()[table](), table)
 
+    def _of_input(
+        self, of_lines: Callable[[DataFrame], DataFrame], of_files: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """What is made of the lines and of the whole files, together."""
+        parts = [(self.raw, of_lines), (self.files, of_files)]
+        return reduce(DataFrame.unionByName, [make(frame) for frame, make in parts if frame is not None])
+
+    def _lines(self) -> DataFrame:
+        if RAW in self._done:
+            return staging.classified(staging.blocks(self._done[RAW], self.max_rows))
+        columns = COLUMNS["stg_blocks"]
+        blocks = self._of_input(
+            lambda raw: staging.blocks(staging.scorecard_lines(raw), self.max_rows).select(*columns), staging.file_blocks
+        )
+        return staging.classified(blocks)
+
     def build(self) -> "Scorecards":
         """Write every table in dependency order (a full refresh).
 
@@ -102,7 +137,7 @@ class Scorecards:
         t, n, lines = self, self.max_rows, LINES
         return {
             "stg_blocks": lambda: t.stored("stg_blocks"),
-            lines: lambda: staging.classified(staging.blocks(t._done.get(RAW) or t.frame(RAW), n)),
+            lines: self._lines,
             "int_match_header": lambda: entities.match_header(t.stored(lines)),
             "int_result": lambda: entities.result(t.stored(lines)),
             "int_innings_totals": lambda: entities.innings_totals(t.stored(lines), n),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchbook.functions.text import first_match
+from matchbook.operators.arrays import segment_array
 from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_numbered
 from matchbook.operators.segment import segment_blocks
+from matchbook.sources.lines import lines_of, split_lines
 
 FILE = "source_file_name"
 ROW = "source_file_row_number"
@@ -25,27 +27,25 @@ def scorecard_lines(raw: DataFrame) -> DataFrame:
     return raw.select("raw_line", FILE, ROW, "loaded_at")
 
 
-def blocks(lines: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Add is_marker_line, block_id, block_type (and the internal ``_chunk``).
+def file_lines(files: DataFrame) -> DataFrame:
+    """The same, from whole files (value, file name, loaded_at)."""
+    return scorecard_lines(split_lines(files, "value", "raw_line", ROW))
 
-    Block type by position first (first and last block with any content line), then by the
-    header line found anywhere in the block.
-    """
-    trimmed = F.trim("raw_line")
-    marked = chunk_numbered(lines, [FILE], ROW, max_rows).withColumn(
-        "is_marker_line", F.coalesce(trimmed.rlike(MARKER), F.lit(False))
-    )
-    cut = segment_blocks(
-        marked,
-        [FILE],
-        [ROW],
-        "is_marker_line",
-        {
-            "_batting": F.col("raw_line").rlike(BATTING_HEADER),
-            "_bowling": trimmed.rlike(BOWLING_HEADER),
-        },
-    )
-    block_type = first_match(
+
+def _is_marker(line: Column) -> Column:
+    return F.trim(line).rlike(MARKER)
+
+
+# What tells the type of a block, looked for in every line of it.
+_HEADERS = {
+    "_batting": lambda line: line.rlike(BATTING_HEADER),
+    "_bowling": lambda line: F.trim(line).rlike(BOWLING_HEADER),
+}
+
+
+def _block_type() -> Column:
+    """By position first (first and last block with any content line), then by the header line found."""
+    return first_match(
         [
             (F.col("is_marker_line"), None),
             (F.col("block_id") == F.col("first_content"), "match_header"),
@@ -55,9 +55,29 @@ def blocks(lines: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         ],
         "unknown",
     )
-    return cut.withColumn("block_type", block_type).drop(
-        "first_content", "last_content", "_batting", "_bowling"
+
+
+def file_blocks(files: DataFrame) -> DataFrame:
+    """``blocks`` of whole files (value, file name, loaded_at), cut where they are read: no shuffle."""
+    cut = segment_array(lines_of(F.col("value")), _is_marker, _HEADERS)
+    of_block = files.select(FILE, "loaded_at", F.explode(cut).alias("_block")).select(FILE, "loaded_at", "_block.*")
+    return (
+        of_block.select("*", F.posexplode("items").alias("_at", "raw_line"))
+        .withColumn(ROW, (F.col("start") + F.col("_at") + 1).cast("long"))
+        .withColumn("is_marker_line", (F.col("block_id") > 0) & (F.col("_at") == 0))
+        .withColumn("block_type", _block_type())
+        .select("raw_line", FILE, ROW, "loaded_at", "is_marker_line", "block_id", "block_type")
+    )
+
+
+def blocks(lines: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Add is_marker_line, block_id, block_type (and the internal ``_chunk``) to lines of files of any size."""
+    marked = chunk_numbered(lines, [FILE], ROW, max_rows).withColumn(
+        "is_marker_line", F.coalesce(_is_marker(F.col("raw_line")), F.lit(False))
     )
+    headers = {name: test(F.col("raw_line")) for name, test in _HEADERS.items()}
+    cut = segment_blocks(marked, [FILE], [ROW], "is_marker_line", headers)
+    return cut.withColumn("block_type", _block_type()).drop("first_content", "last_content", *_HEADERS)
 
 
 def classified(block_lines: DataFrame) -> DataFrame:
@@ -90,4 +110,4 @@ def of_type(lines: DataFrame, *row_types: str) -> DataFrame:
     return lines.where(F.col("row_type").isin(list(row_types)))
 
 
-__all__ = ["FILE", "ROW", "CHUNK", "scorecard_lines", "blocks", "classified", "of_type"]
+__all__ = ["FILE", "ROW", "CHUNK", "scorecard_lines", "file_lines", "blocks", "file_blocks", "classified", "of_type"]

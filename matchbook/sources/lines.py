@@ -15,11 +15,15 @@ PATTERN = "*.txt"
 _COLUMNS = ["raw_line", "source_file_name", "source_file_row_number"]
 
 
+def lines_of(text: Column | str) -> Column:
+    """The lines of a text as an array: blanks kept, any line ending, none after the last."""
+    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
+
+
 def split_lines(df: DataFrame, text: str, line: str, number: str) -> DataFrame:
     """One row per line of a text column: 1-based number, blanks kept, any line ending."""
-    body = F.regexp_replace(F.col(text), r"(\r\n|\r|\n)\z", "")
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(F.split(body, r"\r\n|\r|\n", -1)).alias("_at", line)).select(
+    return df.select(*others, F.posexplode(lines_of(F.col(text))).alias("_at", line)).select(
         *others, line, (F.col("_at") + 1).cast("long").alias(number)
     )
 
@@ -67,12 +71,17 @@ def number_splits(lines: DataFrame) -> DataFrame:
     )
 
 
-def small_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Whole files up to the size limit, split and numbered where they are read."""
+def whole_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """(value, source_file_name): the text of each file up to the size limit that is not empty."""
     kept = scan.where((F.col("_size") <= whole_file_bytes) & (F.length("value") > 0))
     # Reading by lines drops a byte-order mark, so reading whole files does too.
-    kept = kept.withColumn("value", F.regexp_replace("value", "^\\uFEFF", ""))
-    return split_lines(kept, "value", "raw_line", "source_file_row_number").select(*_COLUMNS)
+    return kept.select(F.regexp_replace("value", "^\\uFEFF", "").alias("value"), "source_file_name")
+
+
+def small_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Whole files up to the size limit, split and numbered where they are read."""
+    files = whole_files(scan, whole_file_bytes)
+    return split_lines(files, "value", "raw_line", "source_file_row_number").select(*_COLUMNS)
 
 
 def large_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -85,6 +94,15 @@ def with_load_time(lines: DataFrame) -> DataFrame:
     return lines.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
+def read_files(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """The files below ``path`` by size: (value, source_file_name, loaded_at) for the small ones, lines for the rest."""
+    small = whole_files(scan_text(spark.read, path, True), whole_file_bytes)
+    large = large_files(scan_text(spark.read, path, False), whole_file_bytes)
+    return with_load_time(small), with_load_time(large)
+
+
 def read_lines(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """The raw line table of every ``.txt`` file below ``path``.
 

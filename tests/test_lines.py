@@ -3,11 +3,16 @@
 import os
 import random
 import time
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from matchbook.plans.build import Scorecards
-from matchbook.sources.lines import read_lines
+from matchbook.operators.arrays import segment_array
+from matchbook.operators.segment import segment_blocks
+from matchbook.plans import staging
+from matchbook.plans.build import LINES, RAW, Scorecards
+from matchbook.sources.lines import read_files, read_lines
 from matchbook.streaming.ingest import ingest, raw_table
 from matchbook.streaming.live import run_live
 from tests.fixture_match import MATCH, raw_lines
@@ -98,3 +103,63 @@ def test_live_tables_equal_a_full_build(spark, tmp_path):
         assert sorted(map(str, getattr(live, table).collect())) == sorted(map(str, full.stored(table).collect()))
     tests = live.dim_match.where("series_id is not null").orderBy("match_date").collect()
     assert [t.series_match_number for t in tests] == [1, 2] and tests[0].series_scheduled_matches == 3
+
+
+def odd_files():
+    rng = random.Random(9)
+    stars = "*" * 9
+    files = {"match.txt": MATCH, "marker.txt": [stars], "two.txt": [stars, stars], "plain.txt": ["a"], "blank.txt": [""]}
+    files |= {"first.txt": [stars, "a", "b"], "last.txt": ["a", stars], "gap.txt": ["a", stars, stars, "b", " ** ", " **** "]}
+    for i in range(30):
+        files[f"random{i}.txt"] = [rng.choice([*MATCH, stars, " ***** ", ""]) for _ in range(rng.choice([3, 60, 400]))]
+    return files
+
+
+def text_files(spark, files):
+    rows = [("\n".join(lines) + "\n", name) for name, lines in files.items()]
+    return spark.createDataFrame(rows, "value string, source_file_name string").withColumn("loaded_at", F.lit(datetime(2026, 9, 1)).cast("timestamp_ntz"))
+
+
+def test_whole_files_give_the_rows_of_the_windows(spark):
+    """Cut as arrays where they are read, or by windows: the same blocks, types and roles, and no exchange for arrays."""
+    files = odd_files()
+    whole = text_files(spark, files)
+    by_array = staging.classified(staging.file_blocks(whole))
+    columns = by_array.columns
+    by_window = staging.classified(staging.blocks(raw_lines(spark, files))).select(*columns)
+    assert sorted(map(str, by_array.collect())) == sorted(map(str, by_window.collect()))
+    assert "Exchange" not in by_array._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, staging.file_lines(whole).collect())) == sorted(map(str, raw_lines(spark, files).collect()))
+
+
+def test_segment_array_on_any_items(spark):
+    """Numbers cut at multiples of five, nulls among them, against the operator that uses windows."""
+    rng = random.Random(4)
+    rows = [(g, [rng.choice([None, *range(1, 12)]) for _ in range(n)]) for g, n in enumerate([0, 1, 2, 50, 3000])]
+    arrays = spark.createDataFrame(rows, "g int, items array<int>")
+    cut = segment_array(F.col("items"), lambda x: x % 5 == 0, {"seven": lambda x: x == 7})
+    got = arrays.select("g", F.explode(cut).alias("b")).select("g", "b.*").select("*", F.posexplode("items").alias("at", "x"))
+    got = got.select("g", (F.col("start") + F.col("at")).alias("i"), "x", "block_id", "first_content", "last_content", "seven")
+    lines = arrays.select("g", F.posexplode("items").alias("i", "x")).withColumn("_chunk", F.lit(-1).cast("long"))
+    lines = lines.withColumn("marker", F.coalesce(F.col("x") % 5 == 0, F.lit(False)))
+    want = segment_blocks(lines, ["g"], ["i"], "marker", {"seven": F.col("x") == 7})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) and got.count() == 3053
+
+
+def test_a_large_array_is_cut_in_one_pass(spark):
+    n = 400_000
+    cut = segment_array(F.expr(f"transform(sequence(1, {n}), x -> x % 2)"), lambda x: x == 0, {})
+    started = time.time()
+    sizes = spark.range(1).select(F.explode(cut).alias("b")).agg(F.count("*"), F.sum(F.size("b.items"))).first()
+    assert tuple(sizes) == (n // 2 + 1, n) and time.time() - started < 60
+
+
+def test_a_folder_of_small_and_large_files(spark, folder, tmp_path):
+    source, want = folder
+    cards = Scorecards.of_folder(spark, str(tmp_path / "cards"), str(source), whole_file_bytes=2000)
+    assert as_files(cards.frame(RAW)) == {name: list(enumerate(lines, 1)) for name, lines in want.items()}
+    small, large = read_files(spark, str(source), 2000)
+    assert small.count() and large.count()
+    only = Scorecards(spark, str(tmp_path / "only"), read_lines(spark, str(source), 0))
+    drop = "loaded_at"
+    assert sorted(map(str, cards.stored(LINES).drop(drop).collect())) == sorted(map(str, only.stored(LINES).drop(drop).collect()))
