@@ -160,19 +160,14 @@ CTES = {
         CASE WHEN sl.p = 10 THEN i.total ELSE (i.extras + sum(raw_runs) OVER
             (PARTITION BY sl.m, sl.k ORDER BY sl.p ROWS UNBOUNDED PRECEDING))::BIGINT END AS cumulative_score
         FROM slots sl JOIN inn i ON sl.m = i.m AND sl.k = i.k WHERE sl.p <= sl.nw""",
-    "int_partnerships": """SELECT source_file_name, team, team_innings_number, match_innings_sequence,
-            wicket_number AS partnership_number,
-            cumulative_score - coalesce(lag(cumulative_score) OVER
-                (PARTITION BY source_file_name, match_innings_sequence ORDER BY wicket_number), 0) AS partnership_runs,
-            false AS is_unbroken FROM int_fow_rows
-        UNION ALL
-        SELECT i.source_file_name, i.bat, i.tin, i.k, i.nw + 1, i.total - coalesce(f.last, 0), o.n = 2
-        FROM inn i
-        JOIN (SELECT m, k, count(*) FILTER (WHERE batted AND how = -1 AND p <> hurt) AS n FROM slots GROUP BY m, k) o
-            ON i.m = o.m AND i.k = o.k
-        LEFT JOIN (SELECT source_file_name, match_innings_sequence AS k, max(cumulative_score) AS last
-            FROM int_fow_rows GROUP BY 1, 2) f ON i.source_file_name = f.source_file_name AND i.k = f.k
-        WHERE o.n = 2 OR i.total > coalesce(f.last, 0)""",
+    # A batter's runs belong to the stand of the wicket at which they are out, or to the last one; extras to the first.
+    "stands": """SELECT m, k, source_file_name, bat, tin, nw, CASE WHEN nw = 10 THEN least(p, 10) ELSE least(p, nw + 1) END AS stand,
+            sum(CASE WHEN batted THEN raw_runs ELSE 0 END + CASE WHEN p = 1 THEN extras ELSE 0 END)::BIGINT AS runs,
+            count(*) FILTER (WHERE batted AND how = -1 AND p <> hurt) AS not_out
+        FROM slots GROUP BY ALL""",
+    "int_partnerships": """SELECT source_file_name, bat AS team, tin AS team_innings_number, k AS match_innings_sequence,
+            stand AS partnership_number, runs AS partnership_runs, stand > nw AND not_out = 2 AS is_unbroken
+        FROM stands WHERE stand <= nw OR not_out = 2 OR runs > 0""",
     "rosters": f"""SELECT DISTINCT source_file_name, team, name FROM (
         SELECT source_file_name, home AS team, {_player('home_key', 'p')} AS name FROM seeds, range(1, 12) r(p)
         UNION ALL SELECT source_file_name, away, {_player('away_key', 'p')} FROM seeds, range(1, 12) r(p))""",

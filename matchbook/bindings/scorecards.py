@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from matchbook.bindings.cards import render
 from matchbook.bindings.cards_oracle import expected
-from matchbook.plans.build import Scorecards
+from matchbook.plans.build import RAW, Scorecards
+from matchbook.plans.staging import FILE, ROW
 from matchbook.schemas import COLUMNS
 from matchbook.session import shared_dir
 
@@ -56,12 +57,18 @@ def _model(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lines as they are loaded: every line of every report once, numbered, with its load time."""
+    return corpus(spark, folder).frame(RAW).select(FILE, ROW, "loaded_at")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f"scorecard_{table}": _model(table) for table in COLUMNS}
+    return {RAW: lines} | {f"scorecard_{table}": _model(table) for table in COLUMNS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    loaded = "TIMESTAMP '2026-09-01 03:00:00' AS loaded_at"
+    return {RAW: expected(f"SELECT source_file_name, source_file_row_number, {loaded} FROM stg_lines")} | {
         f"scorecard_{table}": expected(f"SELECT {', '.join(compared(table))} FROM {table}")
         for table in COLUMNS
     }
