@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from matchbook.bindings.scorecards import corpus, plain
 from matchbook.operators import quality
 from matchbook.plans import checks, reports
 from matchbook.plans.build import Scorecards
-from matchbook.plans.metrics import LINKS, METRICS, ROLES, metric
+from matchbook.plans.metrics import LINKS, METRICS, ROLES, Rollups, merged_states, metric, states_of
 from matchbook.plans.views import register_views
+from matchbook.session import shared_dir
 
 REGISTRY = Registry()
 
@@ -466,6 +468,53 @@ REGISTRY.add(
 )(_metric_batting_and_bowling)
 
 
+class _Half:
+    """The rows of the player summary from every other match, as a batch would bring them."""
+
+    def __init__(self, tables: Scorecards, odd: bool):
+        self.tables, self.odd = tables, odd
+
+    def __getattr__(self, table: str) -> DataFrame:
+        frame = getattr(self.tables, table)
+        return frame.where((F.crc32("match_id") % 2 == 1) == F.lit(self.odd)) if table.startswith("fact_") else frame
+
+
+def metric_from_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Averages, pooled factors and their spread by player and format: from rollups of two halves that are merged, at a
+    finer grain than is asked; no fact is read for the answer."""
+    cards, summary = corpus(spark, folder), ["summary_players.player_name", "dim_match.match_format", "summary_teams.team_name"]
+    rollups = Rollups(cards, f"{shared_dir(spark)}/rollups-{uuid4().hex}")
+    rollups.add("fact_batting", ["batters.player_name", "dim_match.match_format", "bowling_teams.team_name"])
+    halves = [states_of(_Half(cards, odd), "fact_player_match_summary", summary) for odd in (False, True)]
+    rollups.add("fact_player_match_summary", summary, merged_states(halves))
+    asked = [f"fact_batting.{m}" for m in ("total_runs", "dismissals", "batting_average", "batting_strike_rate")]
+    asked += [f"fact_player_match_summary.{m}" for m in METRICS["fact_player_match_summary"]]
+    found = plain(metric(rollups, asked, by=["players.player_name", "dim_match.match_format"]))
+    return found.withColumns({c: F.round(c, 6) for c in found.columns if c.endswith("_stddev")})
+
+
+REGISTRY.add(
+    expected(
+        f"""SELECT coalesce(s.player_name, b.player_name) AS player_name, coalesce(s.match_format, b.match_format) AS match_format,
+        total_runs, b.dismissals, batting_average, batting_strike_rate, matches_played, sum_total_runs, sum_dismissals, sum_centuries,
+        sum_five_wicket_hauls, {_BAT_POOL} AS pooled_batting_match_factor, batting_match_factor_stddev,
+        {_BOWL_POOL} AS pooled_bowling_match_factor, bowling_match_factor_stddev, {_BAT_POOL} + {_BOWL_POOL} AS all_rounder_composite
+        FROM (SELECT player_name, match_format, count(f.match_id) AS matches_played, sum(total_runs)::BIGINT AS sum_total_runs,
+            sum(dismissals)::BIGINT AS sum_dismissals, sum(centuries)::BIGINT AS sum_centuries,
+            sum(five_wicket_hauls)::BIGINT AS sum_five_wicket_hauls, {_SUMS},
+            round(stddev_samp(batting_match_factor), 6) AS batting_match_factor_stddev,
+            round(stddev_samp(bowling_match_factor), 6) AS bowling_match_factor_stddev
+            FROM fact_player_match_summary f JOIN dim_match d ON f.match_id = d.match_id
+            JOIN dim_player p ON f.player_id = p.player_id GROUP BY 1, 2) s
+        FULL JOIN (SELECT player_name, match_format, sum(runs)::BIGINT AS total_runs, count(*) FILTER (WHERE {_OUT}) AS dismissals,
+            sum(runs)::DOUBLE / nullif(count(*) FILTER (WHERE {_OUT}), 0) AS batting_average,
+            sum(runs)::DOUBLE / nullif(sum(balls_faced), 0) * 100 AS batting_strike_rate
+            FROM fact_batting f JOIN dim_match d ON f.match_id = d.match_id JOIN dim_player p ON f.player_id = p.player_id GROUP BY 1, 2) b
+        ON s.player_name = b.player_name AND s.match_format IS NOT DISTINCT FROM b.match_format"""
+    )
+)(metric_from_rollup)
+
+
 def sql_on_views(t: Scorecards) -> DataFrame:
     """Plain SQL on the views: every match with the names its foreign keys stand for, one join per registered link."""
     register_views(t)

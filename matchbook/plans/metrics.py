@@ -1,11 +1,13 @@
 """Metric layer: named measures over one fact, by any dimension reachable from it.
 
-Ratios are always recomputed from sums, whatever the grouping.
+Ratios are always recomputed from sums, whatever the grouping. So a measure is either made of the rows of its fact, or of
+a rollup: a table of those sums at a coarser grain, which can be merged with the rollup of other rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from matchbook.functions.measures import overs_to_balls, pooled_batting, pooled_bowling, ratio
 from matchbook.plans.entities import is_dismissal
 
+# The published roles and links of the model.
 # Logical dimension tables: role -> (stored table, key).
 ROLES = {"dim_match": ("dim_match", "match_id")}
 ROLES |= {
@@ -53,23 +56,67 @@ LINKS = {
     },
 }
 
-Measure = Callable[[], Column]
+class OfRows:
+    """What a measure is made of, summed up over the rows of a fact."""
+
+    def sum(self, key: str, value: Column | None = None) -> Column:
+        return F.sum(key if value is None else value)
+
+    def count(self, key: str) -> Column:
+        return F.count(key)
+
+    def mean(self, key: str) -> Column:
+        return F.avg(key)
+
+    def stddev(self, key: str) -> Column:
+        return F.stddev_samp(key)
+
+
+class OfStates:
+    """The same over mergeable states (sums, counts, sums of squares); ``states`` collects how each is made of rows."""
+
+    def __init__(self) -> None:
+        self.states: dict[str, Column] = {}
+
+    def _state(self, name: str, made: Column) -> Column:
+        self.states[name] = made
+        return F.sum(name)
+
+    def sum(self, key: str, value: Column | None = None) -> Column:
+        return self._state(f"sum_{key}", F.sum(key if value is None else value))
+
+    def count(self, key: str) -> Column:
+        return F.coalesce(self._state(f"n_{key}", F.count(key)), F.lit(0))
+
+    def mean(self, key: str) -> Column:
+        return F.try_divide(self.sum(key).cast("double"), self.count(key))
+
+    def stddev(self, key: str) -> Column:
+        n, total = self.count(key), self.sum(key)
+        squares = self._state(f"squares_{key}", F.sum(F.col(key) * F.col(key)))
+        # Below the precision of the sums there is no spread; above it, the result is right to about nine digits.
+        spread = squares - F.try_divide(total * total, n)
+        spread = F.when(spread > squares * 1e-12, spread).otherwise(0.0)
+        return F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1)))
+
+
+Measure = Callable[[OfRows | OfStates], Column]
 
 
 def total(column: str) -> Measure:
-    return lambda: F.sum(column)
+    return lambda a: a.sum(column)
 
 
-def tally(condition: Callable[[], Column]) -> Measure:
-    return lambda: F.sum(F.when(condition(), 1).otherwise(0))
+def tally(name: str, condition: Callable[[], Column]) -> Measure:
+    return lambda a: a.sum(name, F.when(condition(), 1).otherwise(0))
 
 
 def _of(name: str) -> Measure:
-    return lambda: F.count(name)
+    return lambda a: a.count(name)
 
 
 def _pooled(function, prefix: str, names: Sequence[str]) -> Measure:
-    return lambda: function(*[F.sum(f"{prefix}_{n}") for n in names])
+    return lambda a: function(*[a.sum(f"{prefix}_{n}") for n in names])
 
 
 _pooled_bat = _pooled(
@@ -78,8 +125,17 @@ _pooled_bat = _pooled(
 _pooled_bowl = _pooled(
     pooled_bowling, "mf_bowl", ["own_runs_conceded", "own_wickets", "peer_runs_conceded", "peer_wickets"]
 )
-_outs = lambda: F.sum(is_dismissal(F.col("dismissal_type")))
 
+
+def _outs(a) -> Column:
+    return a.sum("outs", is_dismissal(F.col("dismissal_type")))
+
+
+def _balls(a) -> Column:
+    return a.sum("balls", overs_to_balls("overs"))
+
+
+# The published names of the measures.
 METRICS: dict[str, dict[str, Measure]] = {
     "fact_batting": {
         "total_runs": total("runs"),
@@ -88,27 +144,27 @@ METRICS: dict[str, dict[str, Measure]] = {
         "total_sixes": total("sixes"),
         "dismissals": _outs,
         "innings_count": _of("runs"),
-        "batting_average": lambda: ratio(F.sum("runs"), _outs()),
-        "batting_strike_rate": lambda: ratio(F.sum("runs"), F.sum("balls_faced")) * 100,
+        "batting_average": lambda a: ratio(a.sum("runs"), _outs(a)),
+        "batting_strike_rate": lambda a: ratio(a.sum("runs"), a.sum("balls_faced")) * 100,
     },
     "fact_bowling": {
         "total_runs_conceded": total("runs_conceded"),
         "total_wickets": total("wickets"),
         # Adds 7.4 as a decimal, as published; the exact figures follow.
         "total_overs_naive": total("overs"),
-        "economy_rate": lambda: ratio(F.sum("runs_conceded"), F.sum("overs")),
-        "bowling_average": lambda: ratio(F.sum("runs_conceded"), F.sum("wickets")),
-        "balls_bowled": lambda: F.sum(overs_to_balls("overs")),
-        "economy_exact": lambda: ratio(F.sum("runs_conceded") * 6, F.sum(overs_to_balls("overs"))),
+        "economy_rate": lambda a: ratio(a.sum("runs_conceded"), a.sum("overs")),
+        "bowling_average": lambda a: ratio(a.sum("runs_conceded"), a.sum("wickets")),
+        "balls_bowled": _balls,
+        "economy_exact": lambda a: ratio(a.sum("runs_conceded") * 6, _balls(a)),
     },
     "dim_match": {"matches_count": _of("match_date")},
     "fact_partnership": {
         "total_partnership_runs": total("partnership_runs"),
-        "avg_partnership_runs": lambda: F.avg("partnership_runs"),
+        "avg_partnership_runs": lambda a: a.mean("partnership_runs"),
     },
     "fact_fielding": {
-        "total_catches": tally(lambda: F.col("dismissal_type") == "CAUGHT"),
-        "total_stumpings": tally(lambda: F.col("dismissal_type") == "STUMPED"),
+        "total_catches": tally("caught", lambda: F.col("dismissal_type") == "CAUGHT"),
+        "total_stumpings": tally("stumped", lambda: F.col("dismissal_type") == "STUMPED"),
     },
     "fact_player_match_summary": {
         "matches_played": _of("match_id"),
@@ -117,14 +173,14 @@ METRICS: dict[str, dict[str, Measure]] = {
         "sum_centuries": total("centuries"),
         "sum_five_wicket_hauls": total("five_wicket_hauls"),
         "pooled_batting_match_factor": _pooled_bat,
-        "batting_match_factor_stddev": lambda: F.stddev_samp("batting_match_factor"),
+        "batting_match_factor_stddev": lambda a: a.stddev("batting_match_factor"),
         "pooled_bowling_match_factor": _pooled_bowl,
-        "bowling_match_factor_stddev": lambda: F.stddev_samp("bowling_match_factor"),
-        "all_rounder_composite": lambda: _pooled_bat() + _pooled_bowl(),
+        "bowling_match_factor_stddev": lambda a: a.stddev("bowling_match_factor"),
+        "all_rounder_composite": lambda a: _pooled_bat(a) + _pooled_bowl(a),
     },
     "fact_team_match_summary": {
         "matches_played": _of("match_id"),
-        "wins": tally(lambda: F.col("won")),
+        "wins": tally("wins", lambda: F.col("won")),
         "sum_total_runs": total("total_runs"),
         "sum_total_wickets_taken": total("total_wickets_taken"),
     },
@@ -220,11 +276,57 @@ def _grouped(tables, fact: str, measures: Sequence[str], by: Sequence[str], labe
     """The measures of one fact by the dimensions."""
     own = [_own_role(fact, b) for b in by]
     conditions = {_own_role(fact, name): condition for name, condition in where.items()}
-    frame = star_frame(tables, fact, [*own, *conditions])
+    needed = [*own, *conditions]
+    rollup = tables.fitting(fact, needed) if isinstance(tables, Rollups) else None
+    frame, source = (star_frame(tables, fact, needed), OfRows()) if rollup is None else (rollup, OfStates())
     for name, condition in conditions.items():
         frame = frame.where(condition(F.col(flat(name))))
     grouped = frame.groupBy(*[F.col(flat(b)).alias(label) for b, label in zip(own, labels)])
-    return grouped.agg(*[METRICS[fact][m]().alias(m) for m in measures])
+    return grouped.agg(*[METRICS[fact][m](source).alias(m) for m in measures])
+
+
+def states_of(tables, fact: str, by: Sequence[str]) -> DataFrame:
+    """A rollup: one row per value of the dimensions ``by``, with the states of all measures of the fact."""
+    own = list(dict.fromkeys(_own_role(fact, b) for b in by))
+    source = OfStates()
+    for measure in METRICS[fact].values():
+        measure(source)
+    frame = star_frame(tables, fact, own)
+    return frame.groupBy(*[flat(b) for b in own]).agg(*[made.alias(name) for name, made in source.states.items()])
+
+
+def merged_states(rollups: Sequence[DataFrame]) -> DataFrame:
+    """Rollups of one fact and grain over separate rows, such as batches, as the rollup of all rows."""
+    both = reduce(DataFrame.unionByName, rollups)
+    grain = [c for c in both.columns if "__" in c]
+    return both.groupBy(*grain).agg(*[F.sum(c).alias(c) for c in both.columns if c not in grain])
+
+
+class Rollups:
+    """Tables with rollups beside them. ``metric`` answers from the smallest one that has every dimension it needs,
+    and from the fact if there is none; everything else is read from the tables."""
+
+    def __init__(self, tables, path: str):
+        self.tables, self.path = tables, path
+        self._held: dict[str, list[tuple[int, set[str], DataFrame]]] = {}
+
+    def add(self, fact: str, by: Sequence[str], states: DataFrame | None = None) -> "Rollups":
+        """Store the states of the fact by these dimensions (``states``, if they are already made)."""
+        made = states_of(self.tables, fact, by) if states is None else states
+        held = self._held.setdefault(fact, [])
+        folder = f"{self.path}/{fact}-{len(held)}"
+        made.write.mode("overwrite").parquet(folder)
+        frame = made.sparkSession.read.schema(made.schema).parquet(folder)
+        held.append((frame.count(), {c for c in frame.columns if "__" in c}, frame))
+        return self
+
+    def fitting(self, fact: str, dimensions: Sequence[str]) -> DataFrame | None:
+        needed = {flat(d) for d in dimensions}
+        fits = [(rows, i) for i, (rows, grain, _) in enumerate(self._held.get(fact, [])) if needed <= grain]
+        return self._held[fact][min(fits)[1]][2] if fits else None
+
+    def __getattr__(self, table: str) -> DataFrame:
+        return getattr(self.tables, table)
 
 
 def _own_role(fact: str, name: str) -> str:
