@@ -30,7 +30,8 @@ def connected(edges: DataFrame) -> DataFrame:
     )
     before = None
     while True:
-        size = now.agg(F.count("*"), F.sum("v"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        wide = lambda c: F.sum(c.cast("decimal(20,0)"))  # noqa: E731  (nodes may be any 64-bit number)
+        size = now.agg(F.count("*"), wide(F.col("v")), wide(F.xxhash64("u", "v"))).first()
         if size[0] == 0 or size == before:
             break
         before = size

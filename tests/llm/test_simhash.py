@@ -135,3 +135,7 @@ def test_components_of_no_edges_loops_and_a_hub(spark):
     rows = [(7, 7), (1, 2), (2, 1), *((100, k) for k in range(50, 90)), (89, 5), (30, 31)]
     found = {r.node: r.component for r in connected(edges(rows)).collect()}
     assert found == {1: 1, 2: 1, 30: 30, 31: 30, 5: 5, 100: 5, **{k: 5 for k in range(50, 90)}}
+    low, high = -(2**63), 2**63 - 1  # sums of nodes leave 64 bits
+    rows = [(high - k, high - k - 1) for k in range(6)] + [(low + k, low + k + 1) for k in range(6)]
+    found = {r.node: r.component for r in connected(edges(rows)).collect()}
+    assert found == {**{high - k: high - 6 for k in range(7)}, **{low + k: low for k in range(7)}}
