@@ -24,6 +24,8 @@ from matchbook.llm.store import share, shared, slices, stored
 #: Labelled documents per language that the trigram model is fitted on (texts up to FIT_CHARS first, then longer ones),
 #: and the most languages: a bound on the model's size only, beyond the number of written languages with web pages.
 FIT_DOCS, FIT_CHARS, LANGUAGES = 400, 4000, 512
+#: A language's short texts are counted in 2 ** RANGE_BITS ranges of their hash.
+RANGE_BITS = 12
 BUCKETS = 1 << 16
 #: Trigrams of one text count as so many independent ones at most: those that follow each other are not.
 INDEPENDENT = 60.0
@@ -98,16 +100,26 @@ def train(docs: DataFrame) -> Trigrams | None:
     shortest of the longer ones, whole. Languages beyond LANGUAGES go by falling count, ties by name. Rows without
     a language or text teach nothing. None without any labelled text.
     """
-    usable = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
-        "lang", F.xxhash64("doc_id", "text").alias("h"), "text", F.greatest(F.length("text"), F.lit(FIT_CHARS)).alias("long")
+    n = F.length("text")
+    usable = docs.where(F.col("lang").isNotNull() & (n > 0)).select(
+        "lang", F.xxhash64("doc_id", "text").alias("h"), "text", F.greatest(n, F.lit(FIT_CHARS)).alias("long")
     )
-    # Only lengths and hashes are ordered, cut by rank before the shuffle as well; the texts of the chosen rows follow.
+    # Ranges along the order (long, h), fine enough that one holds a small part of a language: a language's rows are
+    # counted by range, and only those up to the range in which the last chosen one lies are put in order.
+    short = F.shiftright("h", 64 - RANGE_BITS) + (1 << RANGE_BITS - 1)
+    place = F.when(F.col("long") == FIT_CHARS, short).otherwise((1 << RANGE_BITS) + F.floor(F.log2("long") * 64))
+    usable = usable.withColumn("place", place)
+    ranges = usable.select("lang", "place", "long", "h").distinct().groupBy("lang", "place").agg(F.count("*").alias("n"))
+    ranges = stored(ranges, "fit_ranges")
+    past = F.sum("n").over(Window.partitionBy("lang").orderBy("place")) - F.col("n")
+    cuts = ranges.withColumn("past", past).where(F.col("past") < FIT_DOCS).groupBy("lang").agg(F.max("place").alias("cut"))
+    sizes = ranges.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+    cuts = cuts.join(F.broadcast(sizes), "lang", "left_semi")  # both have at most LANGUAGES rows
+    near = usable.join(F.broadcast(cuts), "lang").where(F.col("place") <= F.col("cut"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))
-    keys = usable.groupBy("lang", "long", "h").agg(F.count("*").alias("n"))
-    chosen = stored(keys.withColumn("rank", rank).where(F.col("rank") <= FIT_DOCS).drop("n", "rank"), "fit_rows")
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    chosen = chosen.join(F.broadcast(sizes), "lang")  # at most LANGUAGES * FIT_DOCS rows
-    rows = usable.join(F.broadcast(chosen), ["lang", "long", "h"], "left_semi").dropDuplicates(["lang", "long", "h"])
+    chosen = near.select("lang", "long", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= FIT_DOCS)
+    chosen = stored(chosen.drop("rank"), "fit_rows")  # at most LANGUAGES * FIT_DOCS rows
+    rows = near.join(F.broadcast(chosen), ["lang", "long", "h"], "left_semi").dropDuplicates(["lang", "long", "h"])
     counts = _counted(rows.select("lang", "text")).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return None
