@@ -38,6 +38,9 @@ class Manifests:
             return []
         return sorted(s.getPath().getName() for s in self._files.listStatus(place))
 
+    def exists(self, name: str) -> bool:
+        return self._files.exists(self._at(name))
+
     def read(self, name: str) -> dict:
         stream = self._files.open(self._at(name))
         try:
