@@ -18,7 +18,7 @@ from matchbook.session import shared_dir
 
 _CORPORA: dict[tuple[str, str], Scorecards] = {}
 # Text the oracle does not hold, and the load time.
-_NOT_COMPARED = {"raw_line", "loaded_at", "dismissal_detail"}
+_NOT_COMPARED = {"raw_line", "loaded_at"}
 
 
 def corpus(spark: SparkSession, folder: str) -> Scorecards:
