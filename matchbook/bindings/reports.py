@@ -651,7 +651,7 @@ def dq_scorecards(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("check", "table_name", "column_name").agg(F.max("failures").alias("failures"))
 
 
-def _all_checks() -> str:
+def dq_sql() -> str:
     """Every check by name, and the failures of those that find something."""
     listed = []
     for line in CHECKS.strip().splitlines():
@@ -662,4 +662,4 @@ def _all_checks() -> str:
         LEFT JOIN ({_failing()}) f USING ("check", table_name, column_name)"""
 
 
-REGISTRY.add(expected(_all_checks()))(dq_scorecards)
+REGISTRY.add(expected(dq_sql()))(dq_scorecards)
