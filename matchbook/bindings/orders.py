@@ -20,7 +20,7 @@ from matchbook.functions.text import surrogate_key
 from matchbook.operators import quality
 from matchbook.operators.factor import leave_one_out
 from matchbook.operators.rank import leaderboard, recent_form, top_per_group
-from matchbook.operators.resolve import resolve_suffix, suffix_index
+from matchbook.operators.resolve import resolve_suffixes
 from matchbook.operators.scan import scan_groups, with_totals
 from matchbook.operators.series import gap_series
 from matchbook.operators.stands import collapses, cumulative_deltas
@@ -437,8 +437,8 @@ def resolve_suffix_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     fragment = F.right("s_name", (1 + F.col("s_suppkey") % 3).cast("int"))
     asked = supplier.withColumn("fragment", fragment).drop("s_name")
     guarded = F.when(F.col("s_suppkey") % 10 != 9, F.col("fragment"))
-    index = suffix_index(supplier, ["s_nationkey"], "s_name", asked, "fragment")
-    return resolve_suffix(asked, index, ["s_nationkey"], guarded, "resolved", "hits").drop("s_nationkey")
+    found = resolve_suffixes(asked, supplier, ["s_nationkey"], "s_name", {"resolved": (guarded, "hits")})
+    return found.drop("s_nationkey")
 
 
 # --- summaries ---------------------------------------------------------------------------------

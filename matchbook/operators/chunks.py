@@ -32,16 +32,44 @@ def place(order: Sequence[str]) -> Column:
     return F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))])
 
 
-def chunk_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
-    """Add ``_chunk``: the rows sorted by group and ``order`` are cut into even pieces, numbered along the sort.
+def chunk_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    pieces: int | None = None,
+    max_rows: int = MAX_ROWS,
+    suspects: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``_chunk``: the rows of groups of more than ``max_rows`` rows are sorted by group and ``order`` and cut into
+    even pieces, numbered along the sort. Smaller groups stay whole, as chunk -1.
 
     A group with many rows spans several pieces wherever its rows lie along the order, and also where positions
-    repeat, as long as ``order`` tells rows apart. Small groups share a piece. The frame is stored once, so both
-    readers of the chunks (the windows and what is carried between them) see the same cut, and what is above
-    it runs once. ``pieces`` defaults to the session's shuffle partitions, with small ones merged.
+    repeat, as long as ``order`` tells rows apart. The groups are counted first, which reads the keys only; without
+    large ones that is all. ``suspects`` may name, by some of the keys, the groups that can be large at all (any
+    superset does), when that is cheaper to tell. Rows without a key are never cut. The cut rows are stored once, so that both readers of the chunks
+    (the windows and what is carried between them) see the same cut. With ``pieces`` all groups are cut, into so many;
+    else into the session's shuffle partitions, with small ones merged.
     """
-    by = [*[F.col(k) for k in keys], *along(order)]
     pieces = pieces or PIECES
+    if pieces:
+        return _cut(df, keys, order, pieces)
+    if suspects is None:
+        large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows).select(*keys)
+    else:
+        large = suspects.distinct()
+    large = large.dropna()
+    listed = large.limit(LISTED + 1).count()
+    if not listed:
+        return df.withColumn(CHUNK, F.lit(_COLD).cast("long"))
+    large = stored(large.select(*[F.col(k).alias(f"_large_{k}") for k in large.columns]))
+    same = [F.col(k.removeprefix("_large_")) == F.col(k) for k in large.columns]
+    listed_large = F.broadcast(large) if listed <= LISTED else large
+    whole = df.join(listed_large, same, "left_anti").withColumn(CHUNK, F.lit(_COLD).cast("long"))
+    return whole.unionByName(_cut(df.join(listed_large, same, "left_semi"), keys, order))
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    by = [*[F.col(k) for k in keys], *along(order)]
     dealt = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
     return stored(dealt.withColumn(CHUNK, F.spark_partition_id().cast("long")))
 

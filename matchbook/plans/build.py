@@ -150,7 +150,7 @@ class Scorecards:
                 t.int_innings_totals, t.int_batting_rows, t.int_fow_rows, n
             ),
             "int_fielding_dismissals": lambda: entities.fielding_dismissals(
-                t.int_batting_rows, t.int_match_header, t.int_bowling_rows
+                t.int_batting_rows, t.int_match_header, t.int_bowling_rows, n
             ),
             "int_batting_match_factor": lambda: entities.batting_match_factor(t.int_batting_rows),
             "int_bowling_match_factor": lambda: entities.bowling_match_factor(t.int_bowling_rows),

@@ -20,7 +20,7 @@ from matchbook.functions.text import (
 from matchbook.operators.chunks import CHUNK, MAX_ROWS, chunk_numbered
 from matchbook.operators.factor import leave_one_out
 from matchbook.operators.pivot import numbered_lines_to_columns
-from matchbook.operators.resolve import name_fragment, resolve_suffix, suffix_index
+from matchbook.operators.resolve import name_fragment, resolve_suffixes
 from matchbook.operators.scan import ordered_scan
 from matchbook.operators.stands import cumulative_deltas
 from matchbook.plans.staging import FILE, ROW, of_type
@@ -315,7 +315,9 @@ def partnerships(
     return as_table(broken.unionByName(last), "int_partnerships")
 
 
-def fielding_dismissals(batting: DataFrame, header: DataFrame, bowling: DataFrame) -> DataFrame:
+def fielding_dismissals(
+    batting: DataFrame, header: DataFrame, bowling: DataFrame, max_rows: int = MAX_ROWS
+) -> DataFrame:
     """One row per catch or stumping, with surnames resolved against the fielding side's roster."""
     kind, text = F.col("dismissal_type"), F.col("dismissal_detail")
 
@@ -344,12 +346,17 @@ def fielding_dismissals(batting: DataFrame, header: DataFrame, bowling: DataFram
     )
     # A caught-and-bowled row keeps its row but is not matched as a fielder.
     fielder = F.when(~F.col("caught_and_bowled"), name_fragment("_fielder"))
-    bowler = name_fragment("_bowler")
-    side = [FILE, "team"]
-    asked = events.select(*side, F.explode(F.array(fielder, bowler)).alias("_asked"))
-    index = suffix_index(roster, side, "player_name", asked, "_asked")
-    resolved = resolve_suffix(events, index, side, fielder, "_fielder_name", "_fielder_hits")
-    resolved = resolve_suffix(resolved, index, side, bowler, "bowler_name", "bowler_match_count")
+    # Only a file with so many names of one innings can have a side too large for one task.
+    large = batting.where(F.col("batting_position") > max_rows).select(FILE)
+    large = large.unionByName(bowling.where(F.col("bowling_position") > max_rows).select(FILE))
+    resolved = resolve_suffixes(
+        events,
+        roster,
+        [FILE, "team"],
+        "player_name",
+        {"_fielder_name": (fielder, "_fielder_hits"), "bowler_name": (name_fragment("_bowler"), "bowler_match_count")},
+        suspects=large,
+    )
     numbers = bowling.select(*INNINGS, "team_innings_number").distinct()
     own = F.col("caught_and_bowled")
     return as_table(

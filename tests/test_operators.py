@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from matchbook.functions import measures, text
 from matchbook.operators.chunks import chunk_groups, chunk_numbered
-from matchbook.operators.resolve import resolve_suffix, suffix_index
-from matchbook.operators.scan import scan_groups
+from matchbook.operators.resolve import resolve_suffixes
+from matchbook.operators.scan import ordered_scan, scan_groups
 from matchbook.operators.segment import segment_blocks
 from matchbook.operators.series import gap_series
 from matchbook.operators.stands import collapses, cumulative_deltas
@@ -142,16 +142,42 @@ def test_chunks_are_bounded(events, spark):
     assert numbered.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 101
 
 
-def test_suffix_resolution_matches_brute_force(spark):
+@pytest.mark.parametrize("pieces", [None, 5])
+def test_suffix_resolution_matches_brute_force(spark, pieces):
     names = [("n", "A Stone"), ("n", "B Stone"), ("n", "R Vasconcelos"), ("m", "C Stone"), ("n", "A Stone"), ("n", "O'Box")]
+    names += [("n", "a Case"), ("n", "A Case"), ("n", None), (None, "N Oone"), ("n", "É Émile"), ("n", "Z\U0010ffffxy")]
     asked = [("n", " stone"), ("n", "oncelos"), ("m", " Stone"), ("m", "oncelos"), ("n", None), ("n", "box"), ("n", "a stone")]
+    asked += [("n", "case"), ("n", ""), (None, "one"), ("n", "émile"), ("n", "xy"), ("n", "y"), ("none", "stone"), ("n", "e")]
     roster = spark.createDataFrame(names, "k string, name string")
-    asks = spark.createDataFrame([(i, k, f) for i, (k, f) in enumerate(asked)], "id long, k string, f string")
-    index = suffix_index(roster, ["k"], "name", asks, "f")
-    got = {r.id: (r.found, r.hits) for r in resolve_suffix(asks, index, ["k"], F.col("f"), "found", "hits").collect()}
-    for i, (k, f) in enumerate(asked):
-        hits = {n for kk, n in names if kk == k and f is not None and n.lower().endswith(f.lower())}
-        assert got[i] == (next(iter(hits)) if len(hits) == 1 else None, len(hits))
+    rows = [(i, k, f, g) for i, ((k, f), (_, g)) in enumerate(zip(asked, asked[::-1]))]
+    asks = spark.createDataFrame(rows + rows[:2], "id long, k string, f string, g string")
+    both = {"found": (F.col("f"), "hits"), "other": (F.col("g"), "others")}
+    got = resolve_suffixes(asks, roster, ["k"], "name", both, pieces=pieces)
+    assert got.columns == ["id", "k", "f", "g", "found", "hits", "other", "others"]
+
+    def plain(k, f):
+        hits = {n for kk, n in names if k is not None and kk == k and n and f and n.lower().endswith(f.lower())}
+        return next(iter(hits)) if len(hits) == 1 else None, len(hits)
+
+    expected = [(*r, *plain(r[1], r[2]), *plain(r[1], r[3])) for r in rows + rows[:2]]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
+
+
+def test_only_large_groups_are_cut(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small pieces would be merged
+    monkeypatch.setattr("matchbook.operators.chunks.LISTED", 0)  # as if too many to broadcast
+    rows = [(g, i) for g, n in (("a", 400), ("b", 30), (None, 300), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, id long")
+    cut = chunk_groups(df, ["g"], ["id"], max_rows=200)
+    whole = {r.g: r.n for r in cut.where("_chunk = -1").groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert whole == {"b": 30, "c": 1, None: 300}
+    assert cut.groupBy("g").agg(F.countDistinct("_chunk").alias("n")).where("g = 'a'").first().n > 1
+    assert chunk_groups(df, ["g"], ["id"]).select("_chunk").distinct().collect() == [(-1,)]
+    got = ordered_scan(cut, ["g"], ["id"], number="n", sums={"s": "id"}, lasts={"l": F.when(F.col("id") % 150 == 7, F.col("id"))})
+    for r in got.collect():
+        latest = [i for i in range(r.id + 1) if i % 150 == 7]
+        assert (r.n, r.s, r.l) == (r.id + 1, r.id * (r.id + 1) // 2, latest[-1] if latest else None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def one(spark, *columns):
