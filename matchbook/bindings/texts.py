@@ -13,7 +13,8 @@ from matchbook.functions.text import first_match, fixed, part, rx, squeeze, to_d
 from matchbook.operators.chunks import MAX_ROWS, chunk_groups, chunk_numbered
 from matchbook.operators.pivot import numbered_lines_to_columns
 from matchbook.operators.segment import segment_blocks
-from matchbook.session import shared_dir
+from matchbook.session import shared_dir, stored
+from matchbook.sources.cases import Cases
 from matchbook.sources.lines import split_lines
 from matchbook.streaming.ingest import ingest, raw_table
 from matchbook.sources.tables import cents, table
@@ -272,6 +273,73 @@ def inline_cases(spark: SparkSession, folder: str) -> DataFrame:
     return results.join(cases, "input", "left")
 
 
+_CASES = """firsts AS (SELECT conv_id, count(*) AS calls, count(*) > 2 AS longer,
+        min({'turn': turn, 'text': text}) FILTER (role = 'user').text AS input_query,
+        coalesce(min({'turn': turn, 'text': text}) FILTER (role = 'assistant').text, '') AS answer
+    FROM conversations GROUP BY conv_id),
+cases AS (SELECT concat('conversation ', conv_id) AS case_id, CASE WHEN longer THEN 'dialogue' ELSE 'question' END AS category,
+        input_query, calls, answer, CAST(json_object('ground_truth_output', answer,
+            'ground_truth_invocations', json_array(json_object('tool_name', 'assistant', 'calls', calls))) AS VARCHAR) AS ground_truth
+    FROM firsts WHERE input_query IS NOT NULL)"""
+
+
+def conversation_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """A case for each conversation: its first question, and a JSON object of the first answer and the number of turns."""
+    turn = lambda role: F.min(F.when(F.col("role") == role, F.struct("turn", "text")))["text"]
+    firsts = (
+        table(spark, folder, "conversations")
+        .groupBy("conv_id")
+        .agg(
+            F.count(F.lit(1)).alias("calls"),
+            turn("user").alias("input_query"),
+            F.coalesce(turn("assistant"), F.lit("")).alias("answer"),
+        )
+        .where(F.col("input_query").isNotNull())
+    )
+    call = F.struct(F.lit("assistant").alias("tool_name"), "calls")
+    truth = F.struct(F.col("answer").alias("ground_truth_output"), F.array(call).alias("ground_truth_invocations"))
+    return firsts.select(
+        F.concat(F.lit("conversation "), "conv_id").alias("case_id"),
+        F.when(F.col("calls") > 2, "dialogue").otherwise("question").alias("category"),
+        "input_query",
+        F.to_json(truth).alias("ground_truth"),
+    )
+
+
+_TRUTH = "ground_truth_output string, ground_truth_invocations array<struct<tool_name: string, calls: long>>"
+
+
+def _in_truth(path: str, kind: str) -> Column:
+    return F.try_variant_get(F.parse_json("ground_truth"), path, kind)
+
+
+@_add(
+    f"""WITH {_CASES} SELECT case_id, category, input_query, ground_truth, calls, length(answer) AS answer_length,
+        CAST(json_object('query_text', input_query, 'expected_tools', CAST(ground_truth AS JSON)) AS VARCHAR) AS entry,
+        CASE WHEN category = 'question' THEN 1 ELSE 2 END::BIGINT AS batch, 2::BIGINT AS versions FROM cases"""
+)
+def append_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases appended in four turns: the questions, the questions with repeated rows, all, and all again. Each case is there
+    once, with the append that brought it; the entries of an evaluation set are objects built around the stored ones."""
+    cases = Cases(spark, f"{shared_dir(spark)}/cases-{uuid4().hex}")
+    given = stored(conversation_cases(spark, folder))
+    questions = given.where(F.col("category") == "question")
+    for batch in (questions, questions.unionAll(questions), given, given):
+        versions = cases.append(batch)
+    truth = F.from_json("ground_truth", _TRUTH)
+    return cases.read().select(
+        "case_id",
+        "category",
+        "input_query",
+        "ground_truth",
+        _in_truth("$.ground_truth_invocations[0].calls", "long").alias("calls"),
+        F.length(_in_truth("$.ground_truth_output", "string")).cast("long").alias("answer_length"),
+        F.to_json(F.struct(F.col("input_query").alias("query_text"), truth.alias("expected_tools"))).alias("entry"),
+        F.col("batch").cast("long").alias("batch"),
+        F.lit(versions).cast("long").alias("versions"),
+    )
+
+
 #: Documents whose lines share a text file.
 _SLICE = 1000
 
