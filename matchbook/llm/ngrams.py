@@ -15,9 +15,11 @@ reaches down to a bigram seen once after the commonest context.
 
 from __future__ import annotations
 
+import math
 import mmap
 import tempfile
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -31,10 +33,13 @@ from pyspark.sql import functions as F
 from matchbook.llm.store import stored
 
 HEAPS = 0.9
-#: Tokens of a block, and of a bucket; characters read before a block is looked at.
-BLOCK, BUCKET, READ = 1 << 20, 1 << 19, 6 << 20
-#: A context with more than this share of all tokens is cut into SALTS parts by successor. There are at most 1000 of them.
-HOT, SALTS = 0.001, 16
+#: Least tokens of a block, and of a bucket.
+BLOCK, BUCKET = 1 << 20, 1 << 19
+#: Bytes of a token, and what both sizes' product is at least times the tokens of the corpus, so that a block has some
+#: dozens of bigrams for each bucket: as one row goes from each block to each bucket, rows grow with the corpus only.
+TOKEN, PRODUCT = 6, 160
+#: A context with more tokens than this part of a bucket is cut by successor into pieces of about so many.
+PIECE = 8
 END, START = (xxhash.xxh64_intdigest(x) for x in (b"", b" "))  # no word is empty or a space
 
 #: The codes reach down to 10 ** -DEPTH, and further where a context is seen so often that its rarest successor is below.
@@ -303,8 +308,8 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]
         yield rows
 
 
-def _count_words(hot: float, total: int):
-    """For each shard: every block's words with their counts in the whole training corpus."""
+def _count_words(most: int, total: int):
+    """For each shard: every block's words with their counts in the whole training corpus, and those above ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "shard"):
@@ -312,7 +317,7 @@ def _count_words(hot: float, total: int):
             distinct, back = np.unique(np.concatenate(hashes), return_inverse=True)
             counts = np.bincount(back, np.concatenate([unpack(r["counts"], np.uint32) for r in rows]), len(distinct))
             counts = counts.astype(np.int64)
-            often = np.flatnonzero(counts > hot * total)
+            often = np.flatnonzero(counts > most)
             answers = np.split(counts[back].astype(np.uint32 if total < 1 << 32 else np.uint64), np.cumsum([len(h) for h in hashes])[:-1])
             n = len(rows)
             yield pa.RecordBatch.from_arrays(
@@ -343,22 +348,44 @@ def _bigrams(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     return keys // len(hashes), keys % len(hashes), back, np.append(np.uint64(START), hashes), hashes
 
 
-def _bucket_of(context: np.ndarray, successor: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    """By context; the contexts of the sorted ``hot`` list by successor too."""
-    at = np.minimum(np.searchsorted(hot, context), max(len(hot) - 1, 0))
-    often = hot[at] == context if len(hot) else np.zeros(len(context), bool)
-    salted = context + np.where(often, successor % np.uint64(SALTS) + np.uint64(1), np.uint64(0)) * np.uint64(0x9E3779B97F4A7C15)
+def sizes_for(tokens: int, block: int = BLOCK, bucket: int = BUCKET) -> tuple[int, int]:
+    """Tokens of a block and of a bucket: at least those given, and both at least the root of PRODUCT times the tokens."""
+    wide = math.isqrt(PRODUCT * tokens)
+    return max(block, wide), max(bucket, wide)
+
+
+class Hot(NamedTuple):
+    """Contexts that are cut by successor: hashes in order, how often each is seen, and into how many pieces it is cut."""
+
+    words: np.ndarray
+    counts: np.ndarray
+    pieces: np.ndarray
+
+    @classmethod
+    def of(cls, counts: dict[int, int], piece: int) -> Hot:
+        words = np.array(sorted(counts), np.uint64)
+        seen = np.array([counts[w] for w in sorted(counts)], np.int64)
+        return cls(words, seen, np.maximum(-(-seen // piece), 1).astype(np.uint64))
+
+
+def _bucket_of(context: np.ndarray, successor: np.ndarray, hot: Hot, buckets: int) -> np.ndarray:
+    """By context; the contexts of the ``hot`` list by successor too."""
+    piece = np.zeros(len(context), np.uint64)
+    if len(hot.words):
+        at = np.minimum(np.searchsorted(hot.words, context), len(hot.words) - 1)
+        piece = np.where(hot.words[at] == context, successor % hot.pieces[at] + np.uint64(1), piece)
+    salted = context + piece * np.uint64(0x9E3779B97F4A7C15)
     return ((salted ^ (salted >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
 
 
-def _deal(context: np.ndarray, successor: np.ndarray, buckets: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _deal(context: np.ndarray, successor: np.ndarray, buckets: int, hot: Hot) -> tuple[np.ndarray, np.ndarray]:
     """The order of bigrams by bucket, context and successor, and where each bucket starts."""
     bucket = _bucket_of(context, successor, hot, buckets)
     order = np.lexsort((successor, context, bucket))
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def _bigram_buckets(buckets: int, hot: np.ndarray):
+def _bigram_buckets(buckets: int, hot: Hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -384,8 +411,9 @@ def _bigram_buckets(buckets: int, hot: np.ndarray):
     return run
 
 
-def _look_up(hot: np.ndarray, hot_counts: np.ndarray, depth: float):
+def _look_up(often: Hot, depth: float):
     """Build the trie of each bucket from all its bigrams, and look up those of every block."""
+    hot, hot_counts = often.words, often.counts
     spare = hot_counts.astype(float) ** HEAPS
     hot_weights = quantised(spare / np.maximum(hot_counts + spare, 1), depth)
 
@@ -433,7 +461,7 @@ def _look_up(hot: np.ndarray, hot_counts: np.ndarray, depth: float):
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _add_up(shards: int, buckets: int, hot: np.ndarray, total: int, known: int, depth: float):
+def _add_up(shards: int, buckets: int, hot: Hot, total: int, known: int, depth: float):
     """Rows of a block: its answers, words' counts (kind 0) and bigrams' codes (kind 1), then the block itself (kind 2)."""
     book = code_logs(depth)
 
@@ -476,9 +504,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     Returns doc_id, held_out, n_tokens (words and one end), n_known (tokens seen in training), train_tokens,
     base_score (word counts plus one half) and score (log10 probability under the bigram model). Null and empty texts
     have the end only. Rows that repeat each count and each give a row; a null id is not held out if the condition is
-    null for it. Without training documents every token has the same probability. An empty table gives no rows.
+    null for it. ``block`` and ``bucket`` are the least tokens of each; the scores do not depend on them. Without training documents every token has the same probability. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("out"), F.col(text_col).alias("text"))
+    length = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    block, bucket = sizes_for(length[0] // TOKEN + length[1], block, bucket)
+    most = max(1, bucket // PIECE)
     blocks = stored(texts.mapInArrow(_blocks(block), BLOCK_SCHEMA), "blocks")
     sums = blocks.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, tokens = int(sums[0]), int(sums[1])
@@ -487,7 +518,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "block")
     words = stored(
         dealt.mapInArrow(
-            _count_words(HOT, max(total, 1)), "shard int, block long, counts binary, known long, hot array<long>, hot_counts array<long>"
+            _count_words(most, max(total, 1)), "shard int, block long, counts binary, known long, hot array<long>, hot_counts array<long>"
         ),
         "word_counts",
     )
@@ -496,16 +527,15 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     starts = blocks.select(F.size("ids").alias("n"), "held")
     pairs = {int(r.hot) & (1 << 64) - 1: int(r.hot_counts) for r in often}
     pairs[START] = pairs.get(END, 0) or _documents(starts)
-    hot = np.array(sorted(pairs), np.uint64)
-    hot_counts = np.array([pairs[h] for h in sorted(pairs)], np.int64)
+    hot = Hot.of(pairs, most)  # at most PIECE contexts for each bucket
 
-    depth = depth_for(max(int(hot_counts.max()), int(HOT * total)))  # no context is seen more often
+    depth = depth_for(max(int(hot.counts.max()), most))  # no context is seen more often
 
     rows = blocks.select("block", "held", "sizes", "tokens", "hashes").mapInArrow(
         _bigram_buckets(buckets, hot), "bucket int, block long, contexts binary, lengths binary, successors binary, counts binary"
     )
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-    found = stored(rows.mapInArrow(_look_up(hot, hot_counts, depth), "block long, bucket int, codes binary, weights binary"), "answers")
+    found = stored(rows.mapInArrow(_look_up(hot, depth), "block long, bucket int, codes binary, weights binary"), "answers")
 
     none = lambda *names: [F.lit(None).cast(t).alias(n) for n, t in names]
     own = ("ids", "array<long>"), ("held", "binary"), ("sizes", "binary"), ("tokens", "binary"), ("hashes", "binary")

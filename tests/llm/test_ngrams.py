@@ -56,6 +56,41 @@ def test_block_and_bucket_sizes_do_not_matter(spark, block, bucket):
     same(found, plain(rows, [i % 5 == 1 for i, _ in rows]))
 
 
+def test_a_word_with_a_third_of_the_tokens_is_dealt_to_many_buckets():
+    """No bucket gets more than twice its size, and a common word goes to as many as its count needs."""
+    rng, tokens, bucket = np.random.default_rng(3), 600_000, 4_000
+    context = np.where(np.arange(tokens) % 3 == 0, 7, rng.integers(100, 50_000, tokens)).astype(np.uint64)
+    context = np.where(np.arange(tokens) % 30 == 1, 8, context).astype(np.uint64)
+    context = context * np.uint64(0x9E3779B97F4A7C15)
+    successor = rng.integers(0, 1 << 63, tokens, dtype=np.uint64)
+    words, counts = np.unique(context, return_counts=True)
+    often = {int(w): int(n) for w, n in zip(words, counts, strict=True) if n > bucket // ngrams.PIECE}
+    hot = ngrams.Hot.of(often, bucket // ngrams.PIECE)
+    assert sorted(hot.counts.tolist()) == [20_000, 200_000] and sorted(hot.pieces.tolist()) == [40, 400]
+    buckets = tokens // bucket
+    dealt = np.bincount(ngrams._bucket_of(context, successor, hot, buckets), minlength=buckets)
+    assert dealt.max() < 2 * bucket and dealt.min() > bucket // 3
+    none = ngrams.Hot.of({}, 1)
+    assert len(np.unique(ngrams._bucket_of(context[::3], successor[::3], none, buckets))) == 1
+
+
+def test_sizes_follow_the_corpus():
+    """Rows between blocks and buckets stay in proportion to the corpus; sizes that are given are the least."""
+    for tokens in (0, 10**6, 10**9, 10**12, 10**15):
+        block, bucket = ngrams.sizes_for(tokens)
+        assert block >= ngrams.BLOCK and bucket >= ngrams.BUCKET
+        assert (tokens / block) * (tokens / bucket) <= tokens / ngrams.PRODUCT * 1.01 + 1
+    assert ngrams.sizes_for(10**12, 10**8, 10**9) == (10**8, 10**9)
+
+
+def test_common_words_in_small_buckets(spark):
+    """A word with a third of all tokens before many others, over buckets that hold a few tokens each."""
+    rows = [(i, " ".join(f"the w{(i * 37 + j * j) % 211} v{j % 5}" for j in range(60))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = ngrams.score(frame, F.col("doc_id") % 5 == 1, block=500, bucket=200).collect()
+    same(found, plain(rows, [i % 5 == 1 for i, _ in rows]))
+
+
 def test_odd_rows(odd, nothing):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     found = ngrams.score(odd, F.col("doc_id") == 7).collect()
