@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
+from matchbook.session import stored
 
 # A whole file this size is still a small row; larger files are read in splits.
 WHOLE_FILE_BYTES = 4 * 1024 * 1024
@@ -58,17 +59,25 @@ def number_splits(lines: DataFrame) -> DataFrame:
     """Number the lines of files read in splits.
 
     A task reads a split in file order, so the distance from the split's first row is the line's
-    place in the split; the lines of earlier splits of the same file are added. Only one row per
-    split is gathered and windowed, never the lines.
+    place in the split; the lines of earlier splits of the same file are added. The lines are stored
+    once with their order, and so is the table of offsets, one row per split: the text files are read
+    once, and whatever is read again, by a repeated task too, has the same numbers. Offsets of a size
+    that Spark broadcasts leave the lines where they are. Without lines nothing is stored.
     """
-    placed = lines.withColumn("_id", F.monotonically_increasing_id())
-    split = ["_path", "_start"]
-    splits = placed.groupBy(*split).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    number = (F.col("_id") - F.col("_first") + F.col("_skip") + 1).alias("source_file_row_number")
+    columns = [c for c in lines.columns if c not in ("_path", "_start", "_size")]
+    if lines.isEmpty():
+        return lines.select(*columns, F.lit(None).cast("long").alias("source_file_row_number"))
+    placed = stored(lines.drop("_size").withColumn("_id", F.monotonically_increasing_id()))
+    joined = placed.join(split_offsets(placed), ["_path", "_start"])
+    return joined.select(*columns, number)
+
+
+def split_offsets(placed: DataFrame) -> DataFrame:
+    """One stored row per split: file, start, its first row's place in the order, and the lines of earlier splits."""
+    splits = placed.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_skip", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
-    return placed.join(offsets, split).withColumn(
-        "source_file_row_number", F.col("_id") - F.col("_first") + F.col("_skip") + 1
-    )
+    return stored(splits.withColumn("_skip", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines"))
 
 
 def whole_files(scan: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -107,7 +116,7 @@ def read_lines(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FIL
     """The raw line table of every ``.txt`` file below ``path``.
 
     Files up to ``whole_file_bytes`` are one row each and are numbered where they are read, with
-    no shuffle. Larger files are read in splits by many tasks. The size test is on file metadata,
+    no shuffle. Larger files are read in splits by many tasks, as soon as this is called. The size test is on file metadata,
     so each scan only opens its own files.
     """
     small = small_files(scan_text(spark.read, path, True), whole_file_bytes)

@@ -12,7 +12,7 @@ from matchbook.operators.arrays import segment_array
 from matchbook.operators.segment import segment_blocks
 from matchbook.plans import staging
 from matchbook.plans.build import LINES, RAW, Scorecards
-from matchbook.sources.lines import read_files, read_lines
+from matchbook.sources.lines import large_files, read_files, read_lines, scan_text
 from matchbook.streaming.ingest import ingest, raw_table
 from matchbook.streaming.live import run_live
 from tests.fixture_match import MATCH, raw_lines
@@ -52,6 +52,26 @@ def test_read_lines(spark, folder, whole_file_bytes):
     assert got == {name: list(enumerate(lines, 1)) for name, lines in want.items()}
 
 
+def test_text_of_large_files_is_read_once(spark, folder, tmp_path):
+    """What is returned reads the stored lines and offsets, without a shuffle, and stays the same when files change."""
+    source, want = folder
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        lines = large_files(scan_text(spark.read, str(source), False), 1000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and plan.count("FileScan parquet") == 2
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    big = {name: rows for name, rows in want.items() if (source / name).stat().st_size > 1000}
+    assert "long.txt" in big and "tail.txt" not in big
+    (source / "long.txt").unlink()
+    for _ in range(2):
+        assert as_files(lines) == {name: list(enumerate(rows, 1)) for name, rows in big.items()}
+    none = large_files(scan_text(spark.read, str(source), False), 10**9)
+    assert none.collect() == [] and none.dtypes == lines.dtypes
+
+
 def test_files_load_once(spark, folder, tmp_path):
     source, want = folder
     raw, state = str(tmp_path / "raw"), str(tmp_path / "state")
