@@ -24,9 +24,10 @@ def size_of(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def order_of(doc_id: str, seed: int) -> Column:
-    """32 hex digits that put documents in a random order, the same on every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+def order_of(doc_id: str, seed: int, text: str) -> Column:
+    """32 hex digits that put documents in a random order, the same on every run; by the text where there is no id."""
+    unnamed = F.concat(F.lit("null "), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), unnamed)))
 
 
 def ranked(sources: DataFrame, column: str) -> DataFrame:
@@ -65,7 +66,7 @@ def shares(docs: DataFrame, id_col: str, source_col: str, text_col: str, weights
     counts = stored(
         docs.select(
             F.col(source_col).alias("_source"),
-            F.conv(F.substring(order_of(id_col, seed), 1, 3), 16, 10).cast("int").alias("bucket"),
+            F.conv(F.substring(order_of(id_col, seed, text_col), 1, 3), 16, 10).cast("int").alias("bucket"),
             size_of(text_col).alias("size"),
         )
         .groupBy("_source", "bucket")
@@ -112,13 +113,13 @@ def mix(
 
     Sources weigh ``weights`` by rank in code point order, null last as a source of its own. Null and empty
     texts have size 0 and nothing is taken of them. Rows that repeat count each; rows of one id follow each
-    other in the random order, the smaller first. An empty table gives no rows. Columns of ``docs`` with the
+    other in the random order, the smaller first; rows without an id have their place by their text. An empty table gives no rows. Columns of ``docs`` with the
     new names are replaced.
     """
     new = ("size", "source_size", "target", "taken", "whole")
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in new])
     goals = stored(shares(docs, id_col, source_col, text_col, weights, epochs, seed), "shares")
-    rows = docs.withColumn("_order", order_of(id_col, seed)).withColumn(
+    rows = docs.withColumn("_order", order_of(id_col, seed, text_col)).withColumn(
         "_bucket", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int")
     )
     rows = rows.join(goals, F.col(source_col).eqNullSafe(F.col("_source")))

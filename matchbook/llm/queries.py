@@ -131,7 +131,7 @@ def token_digests() -> list[F.Column]:
 
 @_add(
     r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-            md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+            md5('42:' || coalesce(doc_id::VARCHAR, 'null ' || md5(coalesce(text, '')))) AS h FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source),
         w AS (SELECT source, n, ((r - 1) % 3 + 1)::BIGINT AS w FROM s),
         -- The clamped sources are those with the fewest words for their weight: try each number of them.

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchbook.llm import mixing, queries
 from tests.compare import connect, differences
@@ -55,6 +56,20 @@ def test_reruns_agree_and_the_mix_has_the_words(spark):
     assert {i: n for i, n in once if n} == dict(words)
 
 
+def test_rows_without_ids_are_spread(spark):
+    """No bucket of the order holds many of them, the target is still met to the word, and reruns agree."""
+    rows = [(None if i % 3 else i, "s", f"word{i} " * (1 + i % 7)) for i in range(3000)] + [(None, "t", "x y")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    bucket = F.substring(mixing.order_of("doc_id", mixing.SEED, "text"), 1, 3)
+    most = docs.where("source = 's'").groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0]
+    assert most <= 10
+    once = mixing.mix(docs).select("text", "size", "target", "taken", "source").collect()
+    assert sorted(once) == sorted(mixing.mix(docs.repartition(3)).select("text", "size", "target", "taken", "source").collect())
+    for source in "st":
+        own = [r for r in once if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1 and all(r.taken <= 3 * r.size for r in own)
+
+
 def test_odd_rows(odd, nothing):
     found = mixing.mix(odd)
     rows = found.collect()
