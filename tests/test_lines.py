@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from matchbook.bindings import texts
 from matchbook.operators.arrays import segment_array
 from matchbook.operators.segment import segment_blocks
 from matchbook.plans import staging
@@ -183,3 +184,14 @@ def test_a_folder_of_small_and_large_files(spark, folder, tmp_path):
     only = Scorecards(spark, str(tmp_path / "only"), read_lines(spark, str(source), 0))
     drop = "loaded_at"
     assert sorted(map(str, cards.stored(LINES).drop(drop).collect())) == sorted(map(str, only.stored(LINES).drop(drop).collect()))
+
+
+def test_a_source_is_one_numbered_file(spark, tmp_path):
+    """However far apart its documents lie, the lines of a source are numbered as one sequence."""
+    rows = [(i * 700, f"a{i}\nb{i}", "en", "one" if i % 2 else "two") for i in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    got = texts.ingest_lines(spark, str(tmp_path))
+    assert got.columns == ["source", "lines", "characters", "last_row", "in_order", "loaded_twice"]
+    assert sorted(tuple(r) for r in got.collect()) == [(s, 8, 16, 8, 2 * 36, False) for s in ("one", "two")]
