@@ -59,3 +59,7 @@ def test_live_batches_in_buckets(spark, both, tmp_path):
     for table in [t for t in TABLES if t not in VIEWS]:
         assert rows(getattr(live, table)) == rows(getattr(both[0], table)), table
     assert len(spark.catalog.listTables()) == known
+
+
+def test_a_task_reads_a_bucket(both):
+    assert both[1].int_batting_rows.rdd.getNumPartitions() == 3
