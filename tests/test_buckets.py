@@ -2,6 +2,9 @@
 
 import pytest
 
+from matchbook.operators import quality
+from matchbook.plans import checks, entities
+from matchbook.plans import reports as reports_of
 from matchbook.plans.build import TABLES, VIEWS, Scorecards
 from matchbook.streaming.live import LiveTables
 from tests.fixture_match import MATCH
@@ -46,6 +49,32 @@ def test_a_summary_is_shuffled_once_by_match(both):
     assert "BroadcastExchange" not in found and found.count("REPARTITION_BY_NUM") == 1
 
 
+def test_credits_meet_their_side_without_a_shuffle(both):
+    assert "Exchange hashpartitioning" not in plan(both[1].frame("int_fielding_dismissals"))
+
+
+@pytest.mark.parametrize("report", [reports_of.top_performers, reports_of.match_factors])
+def test_reports_by_match_are_not_shuffled(both, report):
+    assert "Exchange hashpartitioning" not in plan(report(both[1]))
+    assert rows(report(both[1])) == rows(report(both[0]))
+
+
+def test_reports_of_players_give_the_same_rows(both):
+    for report in (reports_of.running_factor, reports_of.player_profile):
+        assert rows(report(both[1])) == rows(report(both[0]))
+
+
+def test_checks_give_the_same_failures(both):
+    found = [rows(quality.report(checks.all_checks(cards))) for cards in both]
+    assert found[0] == found[1]
+
+
+def test_credits_of_files_with_many_rows_are_sorted(both, monkeypatch):
+    expected = rows(both[0].int_fielding_dismissals)
+    monkeypatch.setattr(entities, "LISTED_ROWS", 1)
+    assert rows(both[1].frame("int_fielding_dismissals")) == expected
+
+
 def test_matches_are_not_broadcast_to_facts(both):
     for cards in both:
         for table in ("int_batting_rows", "int_bowling_rows", "int_fow_rows", "int_partnerships"):

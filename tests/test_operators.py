@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchbook.functions import measures, text
 from matchbook.operators.chunks import chunk_groups, chunk_numbered
-from matchbook.operators.resolve import resolve_suffixes
+from matchbook.operators.resolve import resolve_listed, resolve_suffixes
 from matchbook.operators.scan import ordered_scan, scan_groups
 from matchbook.operators.segment import segment_blocks
 from matchbook.operators.series import gap_series
@@ -163,6 +163,20 @@ def test_suffix_resolution_matches_brute_force(spark, pieces):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
 
 
+def test_names_in_a_list_resolve_as_sorted_ones(spark):
+    names = [("n", "A Stone"), ("n", "B Stone"), ("n", "R Vasconcelos"), ("m", "C Stone"), ("n", "A Stone"), ("n", "a Case")]
+    names += [("n", "A Case"), ("n", None), (None, "N Oone"), ("n", "É Émile"), ("n", "Z\U0010ffffxy")]
+    asked = [(" stone", "n"), ("oncelos", "n"), (" Stone", "m"), (None, "n"), ("", "n"), ("case", "n"), ("émile", "n"), ("XY", "n"), ("e", "o")]
+    asks = spark.createDataFrame([*asked, *asked[:2], ("one", None)], "f string, k string")
+    roster = spark.createDataFrame(names, "k string, name string")
+    by = {"found": (F.col("f"), "hits"), "again": (F.upper("f"), "times")}
+    lists = roster.groupBy("k").agg(F.collect_list("name").alias("l"))
+    listed = resolve_listed(asks.join(lists, "k", "left"), F.coalesce("l", F.array().cast("array<string>")), by).drop("l")
+    swept = resolve_suffixes(asks, roster, ["k"], "name", by).select(*listed.columns)
+    assert listed.schema.simpleString() == swept.schema.simpleString()
+    assert sorted(map(str, listed.collect())) == sorted(map(str, swept.collect()))
+
+
 def test_only_large_groups_are_cut(spark, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small pieces would be merged
     monkeypatch.setattr("matchbook.operators.chunks.LISTED", 0)  # as if too many to broadcast
