@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchbook.functions import measures, text
 from matchbook.operators.chunks import chunk_groups, chunk_numbered
+from matchbook.bindings import orders
 from matchbook.operators.resolve import resolve_listed, resolve_suffixes
 from matchbook.operators.scan import ordered_scan, scan_groups
 from matchbook.operators.segment import segment_blocks
@@ -230,3 +231,15 @@ def test_sums_inside_a_series(spark, size):
     df = spark.createDataFrame(rows, "k string, d date, id long, v long")
     got = gap_series(df, ["k"], "d", "id", 30, sums={"so_far": F.col("v")}, pieces=size).collect()
     assert {r.id: r.so_far for r in got} == {0: 1, 1: 3, 2: 6, 3: 4, 4: 9, 5: 6, 6: 13, 7: 21, 8: 30}
+
+
+def test_supplier_factors_are_dealt_once_to_as_many_tasks_as_lines_ask_for(spark, tmp_path, monkeypatch):
+    lines = spark.range(900).selectExpr(
+        "id % 90 l_orderkey", "id % 7 l_suppkey", "id % 5 l_quantity", "id / 4 l_extendedprice", "if(id % 3 = 0, 'R', 'N') l_returnflag"
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    expected = sorted(map(str, orders.factor_blended(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(orders, "FACTOR_ROWS", 30)
+    found = orders.factor_blended(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 30
+    assert sorted(map(str, found.collect())) == expected
