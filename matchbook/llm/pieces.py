@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ MARK = "▁"
 CHUNK = re.compile(r" *[^ ]+| +")
 #: Distinct chunks that a task keeps; a fuller table is emptied and filled anew, with the same results.
 TABLE = 250_000
+#: Bytes of text that are cut into chunks at once: a chunk takes some twenty times its length while it is looked up.
+SLICE = 512 << 10
 
 
 class ChunkTable:
@@ -56,7 +58,9 @@ class ChunkTable:
         alone = [self.model.piece_to_id(MARK)]
         ids = [x or alone for x in self.model.encode([c[1:] for c in new], num_threads=1)]
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        self.surface += [" " + text for text in self.model.decode(ids, num_threads=1)]
+        # Most chunks decode to themselves and are not held twice.
+        surface = [" " + text for text in self.model.decode(ids, num_threads=1)]
+        self.surface += [c if c == text else text for c, text in zip(new, surface, strict=True)]
         self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(list(map(len, ids))))
         self.ids = np.append(self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32))
 
@@ -68,15 +72,25 @@ class ChunkTable:
         cut = [CHUNK.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         self._learn(set(itertools.chain.from_iterable(cut)))
         index, surface = self.index, self.surface
-        at = [[index[c] for c in chunks] for chunks in cut]
-        chunk = np.fromiter(itertools.chain.from_iterable(at), np.int64)
+        chunk = np.fromiter((index[c] for chunks in cut for c in chunks), np.int64)
+        texts_at = np.cumsum([0, *map(len, cut)])
+        del cut
         size = self.ends[chunk + 1] - self.ends[chunk]
         before = np.append(0, np.cumsum(size))
         # Place k of the output is place k - before + start of the table, for the chunk it belongs to.
         places = np.arange(before[-1]) + np.repeat(self.ends[chunk] - before[:-1], size)
-        offsets = before[np.cumsum([0, *map(len, at)])].astype(np.int32)
+        offsets = before[texts_at].astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.ids[places]))
-        return ids, ["".join([surface[i] for i in one])[1:] for one in at]
+        ends = itertools.pairwise(texts_at.tolist())
+        return ids, ["".join([surface[i] for i in chunk[start:end].tolist()])[1:] for start, end in ends]
+
+
+def coded(table: ChunkTable, batches: Iterable[pa.RecordBatch], text_col: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches with their ids and decoded texts, a slice at a time."""
+    for batch in batches:
+        for part in slices(batch, text_col, SLICE):
+            ids, decoded = table.run([t or "" for t in part.column(text_col).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array(decoded, pa.string())], names=names)
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -95,11 +109,6 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(model.value)
-        for batch in batches:
-            for part in slices(batch, text_col):
-                ids, decoded = table.run([t or "" for t in part.column(text_col).to_pylist()])
-                new = [ids, pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
+        return coded(ChunkTable(model.value), batches, text_col, schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import sentencepiece
 
 from matchbook.llm import pieces, queries
@@ -34,6 +37,17 @@ def test_a_small_table_gives_the_same():
         assert ids.to_pylist() == MODEL.encode(texts[i : i + 8])
 
 
+def test_memory_is_that_of_a_slice():
+    texts = [f"{i % 100} and of the w{i % 500} " * 20 for i in range(10_000)]  # 4 MB of text in one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    own = table()
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in pieces.coded(own, [batch], "text", ["text", "ids", "decoded"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 40e6
+
+
 def test_query(spark, folder):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = queries.op6_sentencepiece(spark, folder).collect()
