@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import time
 from datetime import datetime
 
@@ -13,7 +14,7 @@ from matchbook.operators.arrays import segment_array
 from matchbook.operators.segment import segment_blocks
 from matchbook.plans import staging
 from matchbook.plans.build import LINES, RAW, Scorecards
-from matchbook.sources.lines import large_files, read_files, read_lines, scan_text
+from matchbook.sources.lines import large_files, lines_of, read_files, read_lines, scan_text
 from matchbook.streaming.ingest import ingest, raw_table
 from matchbook.streaming.live import run_live
 from tests.fixture_match import MATCH, raw_lines
@@ -35,6 +36,20 @@ def folder(tmp_path):
     return source, want
 
 
+def test_lines_of_tries_no_pattern(spark):
+    rng = random.Random(8)
+    parts = ["\r", "\n", "\r\n", "a", " ", "é", "\u2028", "\x0b", ""]
+    texts = ["", "\n", "\r", "\r\n", "\n\r", "\r\r\n", "a\n\n", "a\r\r", None]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    cut = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines_of("t").alias("lines"))
+    for row in cut.collect():
+        one_ending = None if row.t is None else re.sub(r"\r\n|\r", "\n", row.t)
+        assert row.lines == (None if row.t is None else re.sub(r"\n\Z", "", one_ending).split("\n")), repr(row.t)
+    broken = spark.sql(r"SELECT cast(x'61C20A' AS string) AS t").select(F.to_json(lines_of("t")).alias("j")).first().j
+    assert broken == '["a\ufffd"]'
+    assert "rlike" not in str(lines_of("t")).lower() and "regexp" not in str(lines_of("t")).lower()
+
+
 def as_files(df):
     out = {}
     for r in df.orderBy("source_file_name", "source_file_row_number").collect():
