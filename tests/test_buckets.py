@@ -3,7 +3,7 @@
 import pytest
 
 from matchbook.operators import quality
-from matchbook.plans import checks, entities
+from matchbook.plans import checks, entities, staging
 from matchbook.plans import reports as reports_of
 from matchbook.plans.build import TABLES, VIEWS, Scorecards
 from matchbook.streaming.live import LiveTables
@@ -92,3 +92,17 @@ def test_live_batches_in_buckets(spark, both, tmp_path):
 
 def test_a_task_reads_a_bucket(both):
     assert both[1].int_batting_rows.rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_lines_lost_on_the_way_are_found(spark, tmp_path, monkeypatch, buckets):
+    """The raw lines are numbered from the input, so the checks of a build and of a live batch see what is missing."""
+    cut = staging.file_blocks
+    lost = "source_file_name = 'match-1.txt' OR (source_file_name = 'match-2.txt' AND source_file_row_number = 7)"
+    monkeypatch.setattr(staging, "file_blocks", lambda files: cut(files).where(f"NOT ({lost})"))
+    cards = Scorecards(spark, str(tmp_path / "cards"), files=reports(spark), buckets=buckets).build()
+    faults = LiveTables(spark, str(tmp_path / "live")).apply(None, "one", files=reports(spark), buckets=buckets)
+    for found in (quality.report(checks.all_checks(cards)).collect(), faults):
+        failures = {(r["check"], r["table_name"]): r["failures"] for r in found}
+        assert failures["same_row_count", "stg_blocks"] == failures["same_row_count", "stg_row_classification"] == 2
+        assert failures["files_lost", "dim_match"] == 1
