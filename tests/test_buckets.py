@@ -106,3 +106,30 @@ def test_lines_lost_on_the_way_are_found(spark, tmp_path, monkeypatch, buckets):
         failures = {(r["check"], r["table_name"]): r["failures"] for r in found}
         assert failures["same_row_count", "stg_blocks"] == failures["same_row_count", "stg_row_classification"] == 2
         assert failures["files_lost", "dim_match"] == 1
+
+
+def test_a_summary_adds_its_sources_up_where_they_lie(both):
+    """One aggregate over the stacked sources: they are neither sorted nor shuffled, and nothing else is joined per source."""
+    found = plan(both[1].frame("fact_player_match_summary"))
+    assert "SortMergeJoin" not in found and "Exchange hashpartitioning" in found and found.count("Exchange hashpartitioning") == 1
+    assert found.count("Union") == 2 and found.count("ShuffledHashJoin") == 3
+
+
+@pytest.mark.parametrize("table", ["fact_batting", "fact_bowling", "int_batting_rows", "int_fielding_dismissals"])
+def test_rows_of_a_bucket_meet_without_a_sort(both, table):
+    assert "SortMergeJoin" in plan(both[0].frame(table)) and "SortMergeJoin" not in plan(both[1].frame(table))
+
+
+def test_what_files_add_up_to_is_counted_in_one_pass(both):
+    found = [c for c in checks.table_checks(both[1]) if c.shared]
+    assert len(found) == 8 and plan(quality.report(found)).count("Exchange SinglePartition") == 1
+
+
+def test_rows_without_a_group_stay_apart(spark):
+    lines = spark.createDataFrame([(None, 1), ("a", 1), ("a", 2**40), ("b", 3)], "f string, n long")
+    sides = quality.numbered(lines, "f", "n", "one"), quality.numbered(lines.where("n <> 3"), "f", "n", "two")
+    counted = quality.side_by_side("f", *sides)
+    assert counted.count() == 4  # a, b, and one row without a group for each side
+    pairwise = quality.same_row_count(lines, lines.where("n <> 3"), "t", "f", "n")
+    shared = quality.same_rows_counted(counted, "one", "two", "t", "n")
+    assert pairwise.failures.count() == shared.failures.count() == 3
